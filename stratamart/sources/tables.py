@@ -108,17 +108,9 @@ def conform(stored: DataFrame, name: str, *, stand_ins: bool = False) -> DataFra
 
 
 def read_sources(
-    spark: SparkSession,
-    base_dir: str,
-    *,
-    stand_ins: bool = False,
-    order_window: tuple[dt.date | None, dt.date | None] | None = None,
+    spark: SparkSession, base_dir: str, *, stand_ins: bool = False
 ) -> dict[str, DataFrame]:
-    """All five source tables; ``order_window`` bounds the order date."""
-    tables = {}
-    for name in SOURCE_COLUMNS:
-        window = None
-        if name == "orders" and order_window is not None:
-            window = ("o_orderdate", *order_window)
-        tables[name] = read_source(spark, base_dir, name, stand_ins=stand_ins, window=window)
-    return tables
+    """All five source tables."""
+    return {
+        name: read_source(spark, base_dir, name, stand_ins=stand_ins) for name in SOURCE_COLUMNS
+    }
