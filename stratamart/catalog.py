@@ -8,7 +8,7 @@ models it stays decimal.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from stratamart.plans.bronze import STAGED, stage_all, staged
 from stratamart.plans.build import build_layers
 from stratamart.plans.export import export_daily_metrics, publish_daily_metrics, store_results
 from stratamart.sources import (
+    LOADED_AT,
     read_daily_metrics_csv,
     read_source,
     read_sources,
@@ -62,8 +63,29 @@ def presented(df: DataFrame) -> DataFrame:
 # Inputs
 
 
-def staging(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return stage_all(read_sources(spark, folder, stand_ins=True))
+class Staging(Mapping[str, DataFrame]):
+    """The staging tables of a folder; only those asked for are opened."""
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self._spark, self._folder = spark, folder
+        self._opened: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._opened:
+            source, names = STAGED[name]
+            stored = read_source(self._spark, self._folder, source, stand_ins=True)
+            self._opened[name] = staged(stored, names)
+        return self._opened[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(STAGED)
+
+    def __len__(self) -> int:
+        return len(STAGED)
+
+
+def staging(spark: SparkSession, folder: str) -> Staging:
+    return Staging(spark, folder)
 
 
 def keyed(line_items: DataFrame) -> DataFrame:
@@ -74,27 +96,27 @@ def keyed(line_items: DataFrame) -> DataFrame:
     )
 
 
-def order_items(t: dict[str, DataFrame]) -> DataFrame:
+def order_items(t: Mapping[str, DataFrame]) -> DataFrame:
     return gold.fct_order_items(
         gold.int_order_items(t["stg_tpch_orders"], t["stg_tpch_line_items"])
     )
 
 
-def daily(t: dict[str, DataFrame]) -> DataFrame:
+def daily(t: Mapping[str, DataFrame]) -> DataFrame:
     return gold.fct_orders(gold.int_order_items_summary(order_items(t)))
 
 
-def shipments(t: dict[str, DataFrame]) -> DataFrame:
+def shipments(t: Mapping[str, DataFrame]) -> DataFrame:
     return silver.int_shipment_events(
         t["stg_tpch_orders"], t["stg_tpch_line_items"], t["stg_tpch_customers"]
     )
 
 
-def shipment_events(t: dict[str, DataFrame]) -> DataFrame:
+def shipment_events(t: Mapping[str, DataFrame]) -> DataFrame:
     return gold.fct_shipment_events(shipments(t), gold.dim_sla_policy(t["stg_tpch_customers"]))
 
 
-def raw_dates(t: dict[str, DataFrame]) -> DataFrame:
+def raw_dates(t: Mapping[str, DataFrame]) -> DataFrame:
     return t["stg_tpch_line_items"].select(
         "order_key",
         "line_number",
@@ -139,14 +161,13 @@ def all_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def _staged(name: str) -> Query:
-    source, names = STAGED[name]
-    return lambda spark, folder: presented(
-        staged(read_source(spark, folder, source, stand_ins=True), names)
-    )
+    return lambda spark, folder: presented(staging(spark, folder)[name])
 
 
 def freshness(spark: SparkSession, folder: str) -> DataFrame:
-    return source_freshness(read_sources(spark, folder, stand_ins=True))
+    return source_freshness(
+        {name: read_source(spark, folder, name, stand_ins=True) for name in LOADED_AT}
+    )
 
 
 def line_amounts(spark: SparkSession, folder: str) -> DataFrame:
@@ -209,15 +230,15 @@ def ship_lags(spark: SparkSession, folder: str) -> DataFrame:
 # Models
 
 
-def _model(build: Callable[[dict[str, DataFrame]], DataFrame]) -> Query:
+def _model(build: Callable[[Mapping[str, DataFrame]], DataFrame]) -> Query:
     return lambda spark, folder: presented(build(staging(spark, folder)))
 
 
-def unpivoted(t: dict[str, DataFrame]) -> DataFrame:
+def unpivoted(t: Mapping[str, DataFrame]) -> DataFrame:
     return unpivot_shipments(shipments(t), ["order_key", "line_number", "order_date"])
 
 
-def status_policy_usage(t: dict[str, DataFrame]) -> DataFrame:
+def status_policy_usage(t: Mapping[str, DataFrame]) -> DataFrame:
     """The status policy with the number of events judged by it and found late."""
     events = shipment_events(t).groupBy("event_type").agg(
         F.count(F.lit(1)).alias("n_events"),

@@ -68,14 +68,17 @@ def sized_shuffles(spark: SparkSession, folder: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def rebuild_all(tables: Mapping[str, DataFrame], folder: str) -> dict[str, DataFrame]:
+def rebuild_all(
+    spark: SparkSession, tables: Mapping[str, DataFrame], folder: str
+) -> dict[str, DataFrame]:
     """Write independent tables side by side and return them as stored."""
+    in_session = inheritable_thread_target(spark)
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
         return item[0], rebuild_table(item[1], f"{folder}/{item[0]}")
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
-        return dict(pool.map(inheritable_thread_target(write), tables.items()))
+        return dict(pool.map(in_session(write), tables.items()))
 
 
 def build_order_items(
@@ -164,12 +167,13 @@ def build_layers(
         enforce(stored.filter(F.col("suite") == layer))
 
     with sized_shuffles(spark, src_dir):
-        tables |= rebuild_all(stage_all(tables), f"{out_dir}/bronze")
+        tables |= rebuild_all(spark, stage_all(tables), f"{out_dir}/bronze")
         gate("bronze")
 
         orders, lines = tables["stg_tpch_orders"], tables["stg_tpch_line_items"]
         customers = tables["stg_tpch_customers"]
         tables |= rebuild_all(
+            spark,
             {
                 "int_orders_enriched": silver.int_orders_enriched(orders, lines),
                 "int_shipment_events": silver.int_shipment_events(orders, lines, customers),
@@ -179,6 +183,7 @@ def build_layers(
         gate("silver")
 
         tables |= rebuild_all(
+            spark,
             {
                 "dim_customer": gold.dim_customer(customers),
                 "dim_part": gold.dim_part(tables["stg_tpch_parts"]),
@@ -191,7 +196,9 @@ def build_layers(
         )
         # Stored because the fact and five checks read it: one join instead of six.
         tables |= rebuild_all(
-            {"int_order_items": gold.int_order_items(orders, lines)}, f"{out_dir}/gold"
+            spark,
+            {"int_order_items": gold.int_order_items(orders, lines)},
+            f"{out_dir}/gold",
         )
         tables["fct_order_items"] = build_order_items(
             spark,
@@ -211,7 +218,9 @@ def build_layers(
             include_new_keys=include_new_keys,
         )
         daily = gold.int_order_items_summary(tables["fct_order_items"])
-        tables |= rebuild_all({"int_order_items_summary": daily}, f"{out_dir}/gold")
+        tables |= rebuild_all(
+            spark, {"int_order_items_summary": daily}, f"{out_dir}/gold"
+        )
         tables["fct_orders"] = gold.fct_orders(tables["int_order_items_summary"])
         gate("gold")
 
