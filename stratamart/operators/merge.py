@@ -14,6 +14,7 @@ from stratamart.operators.storage import (
     months_of,
     publish_months,
     read_fact,
+    rebuild_table,
     scratch_path,
     write_clustered,
 )
@@ -107,7 +108,7 @@ def merge_fact(
     """
     rows_path = scratch_path(spark, "merge-rows")
     months_path = scratch_path(spark, "merge-months")
-    rows = write_clustered(source, rows_path, layout)
+    rows = rebuild_table(layout.with_month(source), rows_path)
     require_unique(rows, [layout.key])
 
     target = read_fact(spark, path, layout, source.schema)

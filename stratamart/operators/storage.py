@@ -5,7 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -13,6 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Size at which adaptive execution cuts the rows of one output file.
+ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+FILE_BYTES = "512m"
+
 
 @dataclass(frozen=True)
 class FactLayout:
@@ -81,31 +86,43 @@ def rebuild_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of one job."""
+    before = {name: spark.conf.get(name) for name in values}
+    for name, value in values.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def clustered(df: DataFrame, layout: FactLayout) -> DataFrame:
-    """Rows range-partitioned and sorted by day and cluster key.
+    """Rows brought together by day and sorted by day and cluster key.
 
-    A day and key shared by very many rows is still cut into several tasks:
-    the input slice is the last range column. It stays the same when a task is
-    run again, unlike a row number.
+    A range partitioning would have to compute the rows once more to sample
+    them. Rebalancing does not, and adaptive execution cuts a day that is too
+    large into several tasks, even when all its rows are alike.
     """
     return (
         layout.with_month(df)
-        .withColumn("_slice", F.spark_partition_id())
-        .repartitionByRange(layout.day, layout.cluster_key, "_slice")
-        .drop("_slice")
+        .hint("rebalance", layout.day)
         .sortWithinPartitions(layout.month, layout.day, layout.cluster_key)
     )
 
 
 def write_clustered(df: DataFrame, path: str, layout: FactLayout) -> DataFrame:
     """Write a fact in month folders, clustered inside, and return it as stored."""
-    (
-        clustered(df, layout)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy(layout.month)
-        .parquet(path)
-    )
+    with settings(df.sparkSession, {ADVISORY_SIZE: FILE_BYTES}):
+        (
+            clustered(df, layout)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(layout.month)
+            .parquet(path)
+        )
     return read_fact(df.sparkSession, path, layout, df.schema)
 
 

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
+from contextlib import AbstractContextManager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +27,7 @@ from stratamart.operators.storage import (
     load_if_exists,
     read_fact,
     rebuild_table,
+    settings,
     write_clustered,
 )
 from stratamart.plans import gold, silver
@@ -37,7 +38,9 @@ from stratamart.plans.snapshots import SNAPSHOTS
 from stratamart.sources import read_sources
 
 CONCURRENT_WRITES = 8
-SHUFFLE_BYTES = 128 * 1024 * 1024
+SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 40_000
 
 Window = tuple[dt.date | None, dt.date | None]
 
@@ -53,19 +56,16 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-@contextmanager
-def sized_shuffles(spark: SparkSession, folder: str) -> Iterator[None]:
-    """Enough shuffle partitions for the input; adaptive execution merges small ones.
+def sized_shuffles(spark: SparkSession, folder: str) -> AbstractContextManager[None]:
+    """Shuffle partitions for the size of the input; adaptive execution merges small ones.
 
-    A higher setting of the session is left as it is.
+    A higher setting of the session stays. The upper limit keeps the driver's
+    table of map outputs small; beyond it the partitions grow and spill.
     """
-    name = "spark.sql.shuffle.partitions"
-    before = int(spark.conf.get(name))
-    spark.conf.set(name, max(before, math.ceil(stored_bytes(spark, folder) / SHUFFLE_BYTES)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+    needed = math.ceil(stored_bytes(spark, folder) / SHUFFLE_BYTES)
+    current = int(spark.conf.get(SHUFFLE_PARTITIONS))
+    wanted = max(current, min(needed, MAX_SHUFFLE_PARTITIONS))
+    return settings(spark, {SHUFFLE_PARTITIONS: str(wanted)})
 
 
 def rebuild_all(

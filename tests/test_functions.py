@@ -1,0 +1,75 @@
+import datetime as dt
+import hashlib
+import itertools
+
+import pytest
+from pyspark.sql import functions as F
+
+from stratamart.functions import (
+    discount_amount,
+    discounted_amount,
+    greatest_strict,
+    joined_key,
+    least_strict,
+    median_of_three,
+    pricing_discounted_amount,
+    surrogate_key,
+)
+
+D1, D2, D3 = dt.date(2024, 1, 1), dt.date(2024, 1, 5), dt.date(2024, 1, 9)
+
+
+def test_surrogate_key_hashes_text_and_marks_null(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "k bigint, s string")
+    rows = df.select(surrogate_key("k").alias("one"), surrogate_key("k", "s").alias("two"))
+    md5 = lambda text: hashlib.md5(text.encode()).hexdigest()
+    assert [tuple(r) for r in rows.collect()] == [
+        (md5("1"), md5("1-a")),
+        (md5("2"), md5("2-_null_")),
+        (md5("_null_"), md5("_null_-_null_")),
+    ]
+
+
+def test_joined_key_is_null_when_a_part_is_null(spark):
+    df = spark.createDataFrame([(7, 2), (7, None)], "o bigint, l int")
+    keys = df.select(joined_key("o", "l", F.lit("SHIP")).alias("k")).collect()
+    assert [r.k for r in keys] == ["7-2-SHIP", None]
+
+
+def test_money_is_exact_decimal(spark):
+    df = spark.createDataFrame([(100.01, 0.07), (0.0, -0.0)], "p double, d double")
+    row = df.select(
+        discounted_amount("p", "d").alias("net"), discount_amount("p", "d").alias("off")
+    )
+    assert dict(row.dtypes) == {"net": "decimal(18,4)", "off": "decimal(18,4)"}
+    assert [(str(r.net), str(r.off)) for r in row.collect()] == [
+        ("93.0093", "7.0007"),
+        ("0.0000", "0.0000"),
+    ]
+    assert pricing_discounted_amount is discounted_amount
+
+
+@pytest.mark.parametrize("order", list(itertools.permutations([D1, D2, D3])))
+def test_dates_in_any_order(spark, order):
+    df = spark.createDataFrame([order], "c date, s date, r date")
+    c, s, r = F.col("c"), F.col("s"), F.col("r")
+    found = df.select(least_strict(c, s, r), median_of_three(c, s, r), greatest_strict(c, s, r))
+    assert tuple(found.first()) == (D1, D2, D3)
+
+
+@pytest.mark.parametrize(
+    "row, expected",
+    [
+        ((D2, D2, D1), (D1, D2, D2)),
+        ((D1, D1, D1), (D1, D1, D1)),
+        # An unknown date leaves the ends unknown and the middle at the receipt date.
+        ((None, D2, D3), (None, D3, None)),
+        ((D1, None, D3), (None, D3, None)),
+        ((D1, D2, None), (None, None, None)),
+    ],
+)
+def test_ties_and_nulls(spark, row, expected):
+    df = spark.createDataFrame([row], "c date, s date, r date")
+    c, s, r = F.col("c"), F.col("s"), F.col("r")
+    found = df.select(least_strict(c, s, r), median_of_three(c, s, r), greatest_strict(c, s, r))
+    assert tuple(found.first()) == expected

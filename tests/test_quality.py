@@ -1,0 +1,172 @@
+import datetime as dt
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+
+import builders as b
+from plans_util import plan
+from stratamart.operators.quality import (
+    Check,
+    GateFailed,
+    accepted_values,
+    check_metrics,
+    enforce,
+    expression,
+    not_null,
+    relationship,
+    unique,
+    unique_combination,
+    violations,
+    with_severity,
+)
+from stratamart.plans import checks
+
+DAILY = (
+    "order_date date, items_cnt bigint, gross_item_sales_amount decimal(28,4), "
+    "item_discount_amount decimal(28,4)"
+)
+
+
+def table(spark, *rows):
+    return spark.createDataFrame(list(rows), "k bigint, n int, s string")
+
+
+def bad(metrics):
+    return {(r.check_name, r.column_name): r.n_bad for r in metrics.collect()}
+
+
+def test_declared_tests_are_complete():
+    kinds = Counter(c.kind for c in checks.DATA_TESTS)
+    assert kinds == {
+        "not_null": 76,
+        "unique": 22,
+        "relationships": 18,
+        "expression_is_true": 7,
+        "accepted_values": 4,
+        "unique_combination": 4,
+    }
+    assert len(checks.SINGULAR_CHECKS) == 2 and len(checks.DAILY_METRICS) == 8
+
+
+def test_every_kind_counts_its_violations(spark):
+    child = table(
+        spark, (1, 1, "O"), (1, 1, "F"), (2, None, "X"), (None, -1, None), (None, 2, "O"), (9, 3, "P")
+    )
+    parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
+    declared = [
+        *not_null("t", "k", "n"),
+        *unique("t", "k"),
+        *unique_combination("t", "k", "n"),
+        *accepted_values("t", "s", "O", "F", "P"),
+        *relationship("t", "k", "p", "id"),
+        *expression("t", "n > 0"),
+    ]
+    metrics = check_metrics({"t": child, "p": parent}, declared, "suite")
+    assert bad(metrics) == {
+        ("not_null", "k"): 2,
+        ("not_null", "n"): 1,
+        ("unique", "k"): 1,
+        ("unique_combination", "k, n"): 1,
+        ("accepted_values", "s"): 1,
+        ("relationships", "k"): 1,
+        ("expression_is_true", "n > 0"): 1,
+    }
+    assert {r.n_rows for r in metrics.collect()} == {6}
+    rows = {
+        c.kind: violations(child, c, parent).collect() for c in declared if c.kind != "not_null"
+    }
+    assert [r.k for r in rows["relationships"]] == [9]
+    assert [tuple(r) for r in rows["unique"]] == [(1, 2)]
+    assert [tuple(r) for r in rows["unique_combination"]] == [(1, 1, 2)]
+    assert [r.s for r in rows["accepted_values"]] == ["X"]
+    assert [r.n for r in rows["expression_is_true"]] == [-1]
+
+
+def test_nothing_is_bad_in_an_empty_table(spark):
+    empty = table(spark)
+    declared = [*not_null("t", "k"), *unique("t", "k"), *relationship("t", "k", "t", "k")]
+    rows = check_metrics({"t": empty}, declared, "suite").collect()
+    assert all((r.n_rows, r.n_bad, r.passed) == (0, 0, True) for r in rows)
+
+
+def test_row_wise_checks_share_one_scan(spark, small):
+    from stratamart.catalog import staging
+
+    orders = staging(spark, small)["stg_tpch_orders"]
+    chosen = [
+        c
+        for c in checks.STAGING_CHECKS
+        if c.target == "stg_tpch_orders" and c.kind in ("not_null", "accepted_values")
+    ]
+    text = plan(check_metrics({"stg_tpch_orders": orders}, chosen, "s"), "simple")
+    assert len(chosen) == 5 and text.count("FileScan") == 1
+
+
+def test_orphans_are_counted_per_key_before_the_shuffle(spark, small):
+    from stratamart.catalog import staging
+
+    t = staging(spark, small)
+    chosen = relationship("stg_tpch_line_items", "part_key", "stg_tpch_parts", "part_key")
+    text = plan(check_metrics(t, chosen, "s"), "simple")
+    exchange = text.index("Exchange hashpartitioning(k")
+    assert "partial_sum" in text[exchange:] and "Join" not in text
+
+
+def test_gate_minds_severity(spark):
+    rows = table(spark, (1, None, "a"))
+    declared = not_null("t", "n", "k")
+    with pytest.raises(GateFailed, match=r"t.not_null\(n\) n_bad=1"):
+        enforce(check_metrics({"t": rows}, declared, "suite"))
+    waived = with_severity(declared, {Check("t", "not_null", ("n",)): "warn"})
+    metrics = check_metrics({"t": rows}, waived, "suite")
+    enforce(metrics)
+    assert {(r.column_name, r.severity, r.passed) for r in metrics.collect()} == {
+        ("n", "warn", False),
+        ("k", "error", True),
+    }
+
+
+def test_daily_dates_stay_between_1990_and_today(spark):
+    days = ["1989-12-31", "1990-01-01", "2024-05-01", "2024-05-02", None]
+    daily = spark.createDataFrame([(b.day(d), 1, Decimal(1), Decimal(1)) for d in days], DAILY)
+    found = violations(daily, checks.ORDERS_DATE_VALID[0], as_of=dt.date(2024, 5, 1))
+    assert {str(r.order_date) for r in found.collect()} == {"1989-12-31", "2024-05-02"}
+    # Without a day the clock decides.
+    assert violations(daily, checks.ORDERS_DATE_VALID[0]).count() == 1
+    ahead = spark.createDataFrame([(dt.date(9999, 1, 1), 1, Decimal(1), Decimal(1))], DAILY)
+    assert violations(ahead, checks.ORDERS_DATE_VALID[0]).count() == 1
+
+
+def test_daily_amounts_are_not_negative(spark):
+    daily = spark.createDataFrame(
+        [
+            (b.day("2024-01-01"), 1, Decimal(1), Decimal(-1)),
+            (b.day("2024-01-02"), 1, Decimal(-1), None),
+            (b.day("2024-01-03"), 1, None, None),
+        ],
+        DAILY,
+    )
+    assert violations(daily, checks.ORDERS_DISCOUNT[0]).count() == 2
+
+
+def test_suite_over_edge_batches(spark):
+    empty = spark.createDataFrame([], DAILY)
+    failing = {
+        (r.check_name, r.column_name) for r in checks.run_suite(empty).collect() if not r.passed
+    }
+    assert failing == {("row_count_at_least", "")}
+    batch = spark.createDataFrame(
+        [(b.day("2024-01-01"), 1, None, Decimal(1)), (None, -1, Decimal(1), Decimal(0))], DAILY
+    )
+    failing = {
+        (r.check_name, r.column_name): r.n_bad
+        for r in checks.run_suite(batch).collect()
+        if not r.passed
+    }
+    assert failing == {
+        ("not_null", "order_date"): 1,
+        ("not_null", "gross_item_sales_amount"): 1,
+        ("at_least", "items_cnt"): 1,
+    }
+    assert plan(checks.run_suite(batch), "simple").count("HashAggregate") == 2
