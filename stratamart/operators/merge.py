@@ -112,8 +112,8 @@ def merge_fact(
     require_unique(rows, [layout.key])
 
     target = read_fact(spark, path, layout, source.schema)
-    new_keys = rows.select(layout.key)
-    old_copies = target.join(new_keys, layout.key, "left_semi")
+    lines = list(layout.line)
+    old_copies = target.join(rows.select(*lines), lines, "left_semi")
     months = months_of(rows.select(layout.month).union(old_copies.select(layout.month)), layout)
     if months:
         merged = merge_upsert(

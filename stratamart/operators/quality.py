@@ -5,9 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field, replace
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stratamart.operators.merge import duplicate_keys
@@ -87,20 +86,26 @@ def with_severity(checks: Iterable[Check], overrides: Mapping[Check, str]) -> li
     return [replace(c, severity=overrides.get(c, c.severity)) for c in checks]
 
 
-def bad_row(check: Check, as_of: dt.date | None = None) -> Column:
-    """Predicate for rows that break a row-wise check."""
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def bad_row(check: Check, as_of: dt.date | None = None) -> str:
+    """SQL predicate for rows that break a row-wise check."""
     if check.kind == "expression_is_true":
-        return F.expr(f"not ({check.condition})")
+        return f"not ({check.condition})"
     if check.kind == "no_rows_where":
         day = "current_date()" if as_of is None else f"date'{as_of.isoformat()}'"
-        return F.expr(check.condition.replace(":as_of", day))
-    value = F.col(check.columns[0])
+        return check.condition.replace(":as_of", day)
+    column = f"`{check.columns[0]}`"
     if check.kind == "not_null":
-        return value.isNull()
+        return f"{column} is null"
     if check.kind == "accepted_values":
-        return value.isNotNull() & ~value.isin(*check.values)
+        return f"{column} not in ({', '.join(_text(v) for v in check.values)})"
     if check.kind == "at_least":
-        return value < check.minimum
+        return f"{column} < {check.minimum}"
     raise ValueError(f"{check.kind} is not a row-wise check")
 
 
@@ -121,47 +126,49 @@ def violations(
         return df.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
     if check.kind == "row_count_at_least":
         return df.agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") < check.minimum)
-    return df.filter(bad_row(check, as_of))
-
-
-def _metric(check: Check, suite: str, n_rows: Column, n_bad: Column) -> Column:
-    return F.struct(
-        F.lit(suite).alias("suite"),
-        F.lit(check.target).alias("target"),
-        F.lit(check.kind).alias("check_name"),
-        F.lit(check.column_name).alias("column_name"),
-        F.lit(check.severity).alias("severity"),
-        F.coalesce(n_rows, F.lit(0)).cast("bigint").alias("n_rows"),
-        F.coalesce(n_bad, F.lit(0)).cast("bigint").alias("n_bad"),
-        (F.coalesce(n_bad, F.lit(0)) == 0).alias("passed"),
-    )
+    return df.filter(F.expr(bad_row(check, as_of)))
+
+
+def _metric_rows(totals: DataFrame, suite: str, counted: dict[Check, str]) -> DataFrame:
+    """One row per check from a single row of totals; maps checks to their bad count."""
+    rows = [
+        f"""named_struct(
+            'suite', {_text(suite)},
+            'target', {_text(check.target)},
+            'check_name', {_text(check.kind)},
+            'column_name', {_text(check.column_name)},
+            'severity', {_text(check.severity)},
+            'n_rows', cast(coalesce(n_rows, 0) as bigint),
+            'n_bad', cast(coalesce({n_bad}, 0) as bigint),
+            'passed', coalesce({n_bad}, 0) = 0)"""
+        for check, n_bad in counted.items()
+    ]
+    return totals.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def _row_wise(df: DataFrame, checks: list[Check], suite: str, as_of: dt.date | None) -> DataFrame:
     """All row-wise checks of a table in one aggregate over one scan."""
-    wanted = [F.count(F.lit(1)).alias("n_rows")]
-    metrics = []
+    wanted = ["count(*) as n_rows"]
+    counted = {}
     for i, check in enumerate(checks):
-        n_rows = F.col("n_rows")
         if check.kind == "row_count_at_least":
-            n_bad = (n_rows < check.minimum).cast("bigint")
+            counted[check] = f"if(n_rows < {check.minimum}, 1, 0)"
         else:
-            wanted.append(F.count_if(bad_row(check, as_of)).alias(f"bad_{i}"))
-            n_bad = F.col(f"bad_{i}")
-        metrics.append(_metric(check, suite, n_rows, n_bad))
-    return df.agg(*wanted).select(F.inline(F.array(*metrics)))
+            wanted.append(f"count_if({bad_row(check, as_of)}) as bad_{i}")
+            counted[check] = f"bad_{i}"
+    return _metric_rows(df.agg(*[F.expr(w) for w in wanted]), suite, counted)
 
 
 def _repeated(df: DataFrame, check: Check, suite: str) -> DataFrame:
     """Number of key values that occur more than once."""
-    repeated = F.col("copies") > 1
+    repeated = "copies > 1"
     if check.kind == "unique":
-        repeated = repeated & F.col(check.columns[0]).isNotNull()
-    copies = df.groupBy(*check.columns).agg(F.count(F.lit(1)).alias("copies"))
-    totals = copies.agg(F.sum("copies").alias("n_rows"), F.count_if(repeated).alias("n_bad"))
-    return totals.select(
-        F.inline(F.array(_metric(check, suite, F.col("n_rows"), F.col("n_bad"))))
+        repeated += f" and `{check.columns[0]}` is not null"
+    copies = df.groupBy(*check.columns).agg(F.expr("count(*) as copies"))
+    totals = copies.agg(
+        F.expr("sum(copies) as n_rows"), F.expr(f"count_if({repeated}) as n_bad")
     )
+    return _metric_rows(totals, suite, {check: "n_bad"})
 
 
 def _orphans(child: DataFrame, parent: DataFrame, check: Check, suite: str) -> DataFrame:
@@ -170,26 +177,26 @@ def _orphans(child: DataFrame, parent: DataFrame, check: Check, suite: str) -> D
     Both sides are counted per key before they are shuffled, so a key shared
     by most of the child rows travels as one row per task.
     """
-    column, parent_column = check.columns[0], check.parent[1]
-    referring = child.select(
-        F.col(column).alias("k"), F.lit(1).alias("child"), F.lit(0).alias("parent")
-    )
-    known = parent.select(
-        F.col(parent_column).alias("k"), F.lit(0).alias("child"), F.lit(1).alias("parent")
-    )
+    referring = child.selectExpr(f"`{check.columns[0]}` as k", "1 as child", "0 as parent")
+    known = parent.selectExpr(f"`{check.parent[1]}` as k", "0 as child", "1 as parent")
     per_key = (
-        referring.unionByName(known)
+        referring.union(known)
         .groupBy("k")
-        .agg(F.sum("child").alias("rows"), F.max("parent").alias("known"))
+        .agg(F.expr("sum(child) as children"), F.expr("max(parent) as known"))
     )
-    orphaned = F.col("k").isNotNull() & (F.col("known") == 0)
+    orphaned = "k is not null and known = 0"
     totals = per_key.agg(
-        F.sum("rows").alias("n_rows"),
-        F.sum(F.when(orphaned, F.col("rows"))).alias("n_bad"),
-    )
-    return totals.select(
-        F.inline(F.array(_metric(check, suite, F.col("n_rows"), F.col("n_bad"))))
+        F.expr("sum(children) as n_rows"), F.expr(f"sum(if({orphaned}, children, 0)) as n_bad")
     )
+    return _metric_rows(totals, suite, {check: "n_bad"})
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    """Union as a balanced tree, which keeps the analysis of many parts short."""
+    if len(parts) == 1:
+        return parts[0]
+    half = len(parts) // 2
+    return _union(parts[:half]).union(_union(parts[half:]))
 
 
 def check_metrics(
@@ -212,7 +219,7 @@ def check_metrics(
             row_wise.setdefault(check.target, []).append(check)
     for target, group in row_wise.items():
         parts.append(_row_wise(tables[target], group, suite, as_of))
-    return reduce(DataFrame.unionByName, parts)
+    return _union(parts)
 
 
 class GateFailed(RuntimeError):

@@ -39,6 +39,7 @@ from stratamart.sources import read_sources
 
 CONCURRENT_WRITES = 8
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
+FORCE_SKEW_JOIN = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 40_000
 
@@ -56,16 +57,18 @@ def stored_bytes(spark: SparkSession, folder: str) -> int:
     return files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
 
 
-def sized_shuffles(spark: SparkSession, folder: str) -> AbstractContextManager[None]:
-    """Shuffle partitions for the size of the input; adaptive execution merges small ones.
+def sized_session(spark: SparkSession, folder: str) -> AbstractContextManager[None]:
+    """Session settings for the size of the input, for the time of a build.
 
-    A higher setting of the session stays. The upper limit keeps the driver's
-    table of map outputs small; beyond it the partitions grow and spill.
+    Shuffle partitions follow the stored bytes (a higher setting of the session
+    stays; adaptive execution merges small ones). Their upper limit keeps the
+    driver's table of map outputs small; beyond it partitions grow and spill.
+    A skewed join is cut up even where an aggregate on the same key follows.
     """
     needed = math.ceil(stored_bytes(spark, folder) / SHUFFLE_BYTES)
     current = int(spark.conf.get(SHUFFLE_PARTITIONS))
     wanted = max(current, min(needed, MAX_SHUFFLE_PARTITIONS))
-    return settings(spark, {SHUFFLE_PARTITIONS: str(wanted)})
+    return settings(spark, {SHUFFLE_PARTITIONS: str(wanted), FORCE_SKEW_JOIN: "true"})
 
 
 def rebuild_all(
@@ -166,7 +169,7 @@ def build_layers(
         stored = store_results(metrics, results_path, run_ts)
         enforce(stored.filter(F.col("suite") == layer))
 
-    with sized_shuffles(spark, src_dir):
+    with sized_session(spark, src_dir):
         tables |= rebuild_all(spark, stage_all(tables), f"{out_dir}/bronze")
         gate("bronze")
 

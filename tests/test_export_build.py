@@ -5,11 +5,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from plans_util import plan
+from stratamart.__main__ import arguments, run
 from stratamart.catalog import BUILT_ON, KNOWN_TO_FAIL, daily, keyed, staging
 from stratamart.operators.quality import GateFailed
 from stratamart.operators.retention import latest_n_per_group
 from stratamart.plans import checks, gold
-from stratamart.plans.build import build_layers
+from stratamart.plans.bronze import STAGED
+from stratamart.plans.build import build_layers, build_order_items, build_shipment_events
 from stratamart.plans.export import (
     export_daily_metrics,
     newest_runs,
@@ -119,22 +121,57 @@ def test_build_then_incremental_build(spark, small, folder):
     assert history.count() == history.filter("valid_to is null").count() == 150
 
     # Prices change everywhere; a replayed range takes them in, and no other day.
-    lines = sources["lineitem"].withColumn("l_discount", F.lit(0).cast("decimal(15,2)"))
     window = (dt.date(2000, 1, 1), dt.date(2000, 4, 1))
-    build_layers(
-        spark,
-        small,
-        folder,
-        RUN + dt.timedelta(days=2),
-        **{**options, "sources": sources | {"lineitem": lines}},
-        window=window,
-    )
-    now = spark.read.parquet(f"{folder}/gold/fct_order_items")
+    staged = {n: spark.read.parquet(f"{folder}/bronze/{n}") for n in STAGED}
+    lines = staged["stg_tpch_line_items"].withColumn("discount", F.lit(0).cast("decimal(15,2)"))
+    items = gold.int_order_items(staged["stg_tpch_orders"], lines)
+    now = build_order_items(spark, f"{folder}/gold/fct_order_items", items, window=window)
     changed = now.exceptAll(fact).agg(F.min("order_date"), F.max("order_date")).first()
     assert window[0] <= changed[0] and changed[1] < window[1]
     inside = now.filter(F.col("order_date").between(window[0], dt.date(2000, 3, 31)))
     assert inside.filter("discount <> 0").count() == 0 and now.count() == 4599
 
+    # Whole lines of the range are refreshed in the shipment fact.
+    path = f"{folder}/gold/fct_shipment_events"
+    shipped = spark.read.parquet(f"{folder}/silver/int_shipment_events")
+    policies = [spark.read.parquet(f"{folder}/gold/dim_{p}_policy") for p in ("sla", "status")]
+    later = policies[1].withColumn("sla_target_days", F.col("sla_target_days") + 1)
+    now = build_shipment_events(spark, path, shipped, policies[0], later, window=window)
+    changed = now.exceptAll(events).select("order_key", "line_number").distinct()
+    replayed = shipped.filter(F.col("order_date").between(window[0], dt.date(2000, 3, 31)))
+    replayed = replayed.select("order_key", "line_number")
+    assert changed.exceptAll(replayed).count() == 0 == replayed.exceptAll(changed).count()
+    assert now.count() == 3 * 4599
+
+
+def test_jobs(spark, small, folder):
+    sources = clean_sources(spark, small)
+    orders = sources["orders"]
+    last = orders.agg(F.max("o_orderdate")).first()[0]
+    # Keep the calendar wide enough for every event, so that all gates pass.
+    early = orders.limit(1).select(
+        F.lit(-1).cast("bigint").alias("o_orderkey"),
+        "o_custkey",
+        "o_orderstatus",
+        "o_totalprice",
+        F.lit(dt.date(1994, 1, 1)).alias("o_orderdate"),
+    )
+    receipt = F.least("l_receiptdate", F.lit(last))
+    lines = sources["lineitem"].withColumn("l_receiptdate", receipt).withColumn(
+        "l_commitdate", F.least("l_commitdate", receipt)
+    ).withColumn("l_shipdate", F.least("l_shipdate", receipt))
+    for name, table in (sources | {"orders": orders.unionByName(early), "lineitem": lines}).items():
+        table.write.parquet(f"{folder}/src/{name}.parquet")
+    out = f"{folder}/out"
+    run(spark, arguments(["build", "--src", f"{folder}/src", "--out", out,
+                          "--run-ts", "2024-01-01T00:00:00"]))
+    run(spark, arguments(["daily-metrics", "--out", out, "--csv", f"{folder}/csv",
+                          "--run-ts", "2024-01-02T00:00:00"]))
+    results = read_results(spark, f"{out}/validation_results")
+    assert results.count() == 133 + 8 and results.filter("not passed").count() == 0
+    run(spark, arguments(["prune-results", "--out", out, "--keep", "0"]))
+    assert read_results(spark, f"{out}/validation_results").count() == 0
+
 
 def test_golden_daily_metric(spark, small):
     row = daily(staging(spark, small)).agg(
