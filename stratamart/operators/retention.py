@@ -6,10 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Spark cuts each group before the shuffle for limits up to this size
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-PRE_SHUFFLE_LIMIT = 1_000
-SALTS = 64
+# Lists up to this length go to their group's task directly: Spark trims every
+# group inside the map tasks, which leaves at most this many rows per map task.
+DIRECT_LIMIT = 16
+# Longer lists are trimmed in ever fewer parts of the group.
+PARTS = (4096, 64)
 
 
 def latest_n_per_group(
@@ -17,16 +18,17 @@ def latest_n_per_group(
 ) -> DataFrame:
     """The ``keep`` newest rows of every group.
 
-    Up to the limit above Spark trims each group inside every map task. For
-    longer lists the groups are trimmed in salted parts first, so a group that
-    holds most of the rows never reaches one task whole.
+    No task sees more of a group than one part of it, or the survivors of a
+    few dozen parts, however many rows the group has.
     """
 
-    def trimmed(rows: DataFrame, keys: list[str]) -> DataFrame:
+    def trimmed(rows: DataFrame, keys: list[str | Column]) -> DataFrame:
         rank = F.row_number().over(W.partitionBy(*keys).orderBy(*newest_first))
         return rows.withColumn("_rank", rank).filter(F.col("_rank") <= keep).drop("_rank")
 
-    if keep > PRE_SHUFFLE_LIMIT:
-        salted = df.withColumn("_salt", F.spark_partition_id() % SALTS)
-        df = trimmed(salted, [*group, "_salt"]).drop("_salt")
+    if keep > DIRECT_LIMIT:
+        df = df.withColumn("_slice", F.spark_partition_id())
+        for parts in PARTS:
+            df = trimmed(df, [*group, F.col("_slice") % parts])
+        df = df.drop("_slice")
     return trimmed(df, group)

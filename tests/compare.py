@@ -26,12 +26,31 @@ def _rows(columns: list[str], rows) -> list[tuple]:
     )
 
 
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def differences(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:
     """Empty when both sides have the same columns, types and rows."""
     cursor = con.execute(sql)
     sql_columns = [d[0] for d in cursor.description]
     if sorted(sql_columns) != sorted(df.columns):
         return [f"columns {sorted(df.columns)} != {sorted(sql_columns)}"]
+    sql_types = {d[0]: str(d[1]) for d in cursor.description}
+    mistyped = [
+        f"{name}: {kind} != {sql_types[name]}"
+        for name, kind in df.dtypes
+        if TYPES[kind] != sql_types[name]
+    ]
+    if mistyped:
+        return mistyped
     expected = _rows(sql_columns, cursor.fetchall())
     found = _rows(df.columns, df.collect())
     if len(found) != len(expected):
