@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -104,32 +104,42 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
             spark.conf.set(name, value)
 
 
-def clustered(df: DataFrame, layout: FactLayout) -> DataFrame:
+def clustered(
+    df: DataFrame, layout: FactLayout, derive: Callable[[DataFrame], DataFrame] | None = None
+) -> DataFrame:
     """Rows brought together by month and sorted by day and cluster key.
 
     A range partitioning would have to compute the rows once more to sample
     them. Rebalancing does not, and adaptive execution cuts a month into tasks
     of one file each, even when all its rows are alike. The order inside the
-    files lets scans skip to the days they ask for.
+    files lets scans skip to the days they ask for. Columns added by ``derive``
+    are computed after the shuffle and do not travel through it.
     """
-    return (
-        layout.with_month(df)
-        .hint("rebalance", layout.month)
-        .sortWithinPartitions(layout.month, layout.day, layout.cluster_key)
+    rows = df.withColumn("_month", F.trunc(layout.day, "month")).hint("rebalance", "_month")
+    rows = rows.drop("_month")
+    if derive is not None:
+        rows = derive(rows)
+    return layout.with_month(rows).sortWithinPartitions(
+        layout.month, layout.day, layout.cluster_key
     )
 
 
-def write_clustered(df: DataFrame, path: str, layout: FactLayout) -> DataFrame:
+def write_clustered(
+    df: DataFrame,
+    path: str,
+    layout: FactLayout,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Write a fact in month folders, clustered inside, and return it as stored."""
+    rows = clustered(df, layout, derive)
     with settings(df.sparkSession, {ADVISORY_SIZE: FILE_BYTES}):
         (
-            clustered(df, layout)
-            .write.mode("overwrite")
+            rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .partitionBy(layout.month)
             .parquet(path)
         )
-    return read_fact(df.sparkSession, path, layout, df.schema)
+    return read_fact(df.sparkSession, path, layout, rows.schema)
 
 
 def read_fact(

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stratamart.functions import joined_key
-
 # Event type, its date column, days since the event before it.
 EVENTS = [
     ("COMMIT", "commit_date", None),
@@ -28,11 +26,5 @@ def unpivot_shipments(shipments: DataFrame, carried: list[str]) -> DataFrame:
 
     events = F.explode(F.array(*[event(*e) for e in EVENTS]))
     return shipments.select(*carried, events.alias("event")).select(
-        joined_key("order_key", "line_number", F.col("event.event_type")).alias(
-            "shipment_event_key"
-        ),
-        *carried,
-        "event.event_type",
-        "event.event_date",
-        "event.days_since_prior_event",
+        *carried, "event.event_type", "event.event_date", "event.days_since_prior_event"
     )

@@ -97,7 +97,8 @@ def build_order_items(
     full = gold.fct_order_items(order_items)
     target = _target(spark, path, layout, full)
     if target is None or full_refresh:
-        return write_clustered(full, path, layout)
+        narrow = gold.order_item_rows(order_items)
+        return write_clustered(narrow, path, layout, gold.order_item_columns)
     if window is not None:
         rows = full.filter(between_window(F.col("order_date"), *window))
     else:
@@ -121,7 +122,12 @@ def build_shipment_events(
     full = gold.fct_shipment_events(shipments, sla_policy, status_policy)
     target = _target(spark, path, layout, full)
     if target is None or full_refresh:
-        return write_clustered(full, path, layout)
+        return write_clustered(
+            gold.shipment_event_rows(shipments, sla_policy),
+            path,
+            layout,
+            lambda rows: gold.shipment_event_columns(rows, status_policy),
+        )
     if window is not None:
         lines = shipments.filter(between_window(F.col("order_date"), *window))
     else:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratamart.functions import discount_amount, discounted_amount, joined_key, surrogate_key
@@ -113,6 +113,13 @@ def dim_status_policy(spark: SparkSession, policy_version: str = "v1") -> DataFr
     )
 
 
+def dimension_keys() -> list[Column]:
+    """Keys of the customer, part and supplier dimensions, from their natural keys."""
+    return [
+        surrogate_key(f"{name}_key").alias(f"{name}_sk") for name in ("customer", "part", "supplier")
+    ]
+
+
 # Order items and the daily metric
 
 
@@ -138,26 +145,42 @@ def int_order_items(orders: DataFrame, line_items: DataFrame) -> DataFrame:
     )
 
 
-def fct_order_items(order_items: DataFrame) -> DataFrame:
-    """Order-item fact; dimension keys are computed, so no dimension is joined."""
+def order_item_rows(order_items: DataFrame) -> DataFrame:
+    """What the order-item fact is made from, without the columns it derives."""
     return order_items.select(
-        "order_item_key",
         "order_key",
         "line_number",
         F.col("order_date").cast("date").alias("order_date"),
         "customer_key",
         "part_key",
         "supplier_key",
-        surrogate_key("customer_key").alias("customer_sk"),
-        surrogate_key("part_key").alias("part_sk"),
-        surrogate_key("supplier_key").alias("supplier_sk"),
         "extended_price",
         "discount",
-        F.col("discounted_amount").alias("net_item_sales_amount"),
+    )
+
+
+def order_item_columns(rows: DataFrame) -> DataFrame:
+    """The fact's columns; dimension keys are computed, so no dimension is joined."""
+    return rows.select(
+        joined_key("order_key", "line_number").alias("order_item_key"),
+        "order_key",
+        "line_number",
+        "order_date",
+        "customer_key",
+        "part_key",
+        "supplier_key",
+        *dimension_keys(),
+        "extended_price",
+        "discount",
+        discounted_amount("extended_price", "discount").alias("net_item_sales_amount"),
         discount_amount("extended_price", "discount").alias("item_discount_amount"),
     )
 
 
+def fct_order_items(order_items: DataFrame) -> DataFrame:
+    return order_item_columns(order_item_rows(order_items))
+
+
 def order_items_increment(
     order_items: DataFrame, target: DataFrame, *, lookback_days: int = 7, month: str | None = None
 ) -> DataFrame:
@@ -187,75 +210,53 @@ def fct_orders(summary: DataFrame) -> DataFrame:
 # Shipment events
 
 
-def fct_shipment_events(
-    shipments: DataFrame,
-    sla_policy: DataFrame,
-    status_policy: DataFrame | None = None,
+LINE_COLUMNS = [
+    "order_key",
+    "line_number",
+    "part_key",
+    "supplier_key",
+    "customer_key",
+    "market_segment",
+]
+
+
+def shipment_event_rows(
+    shipments: DataFrame, sla_policy: DataFrame, *, with_keys: bool = False
 ) -> DataFrame:
-    """Three events per line with the policy targets and the lateness flag.
+    """Three events per line with the segment's target, which is looked up per line.
 
-    Keys and the segment's target are added per line, before the line turns
-    into three events.
+    ``with_keys`` also hashes the dimension keys per line, before there are
+    three events of it: right for reading, but wider rows for a shuffle.
     """
-    if status_policy is None:
-        statuses = dim_status_policy(shipments.sparkSession)
-    else:
-        statuses = status_policy
-    statuses = statuses.select(
-        "event_type", "event_order", F.col("sla_target_days").alias("status_sla_target_days")
-    )
     segments = sla_policy.select(
         "market_segment", F.col("sla_target_days").alias("segment_sla_target_days")
     )
+    keys = dimension_keys() if with_keys else []
+    dates = ["commit_date", "ship_date", "receipt_date"]
+    lags = ["ship_minus_commit_days", "receipt_minus_ship_days"]
     lines = small_left_join(
-        shipments.select(
-            "order_key",
-            "line_number",
-            "part_key",
-            "supplier_key",
-            "customer_key",
-            "market_segment",
-            surrogate_key("customer_key").alias("customer_sk"),
-            surrogate_key("part_key").alias("part_sk"),
-            surrogate_key("supplier_key").alias("supplier_sk"),
-            "commit_date",
-            "ship_date",
-            "receipt_date",
-            "ship_minus_commit_days",
-            "receipt_minus_ship_days",
-        ),
-        segments,
-        "market_segment",
+        shipments.select(*LINE_COLUMNS, *keys, *dates, *lags), segments, "market_segment"
+    )
+    carried = [c for c in lines.columns if c not in dates + lags]
+    return unpivot_shipments(lines, carried)
+
+
+def shipment_event_columns(rows: DataFrame, status_policy: DataFrame | None = None) -> DataFrame:
+    """The fact's columns: keys, the status policy and the lateness flag."""
+    policy = dim_status_policy(rows.sparkSession) if status_policy is None else status_policy
+    policy = policy.select(
+        "event_type", "event_order", F.col("sla_target_days").alias("status_sla_target_days")
     )
-    carried = [
-        "order_key",
-        "line_number",
-        "part_key",
-        "supplier_key",
-        "customer_key",
-        "market_segment",
-        "customer_sk",
-        "part_sk",
-        "supplier_sk",
-        "segment_sla_target_days",
-    ]
-    events = unpivot_shipments(lines, carried)
     if status_policy is None:
-        events = events.join(F.broadcast(statuses), "event_type", "left")
+        events = rows.join(F.broadcast(policy), "event_type", "left")
     else:
-        events = small_left_join(events, statuses, "event_type")
+        events = small_left_join(rows, policy, "event_type")
+    has_keys = "customer_sk" in rows.columns
     lag, allowed = F.col("days_since_prior_event"), F.col("status_sla_target_days")
     return events.select(
-        "shipment_event_key",
-        "order_key",
-        "line_number",
-        "part_key",
-        "supplier_key",
-        "customer_key",
-        "market_segment",
-        "customer_sk",
-        "part_sk",
-        "supplier_sk",
+        joined_key("order_key", "line_number", "event_type").alias("shipment_event_key"),
+        *LINE_COLUMNS,
+        *(["customer_sk", "part_sk", "supplier_sk"] if has_keys else dimension_keys()),
         "event_type",
         "event_date",
         "days_since_prior_event",
@@ -266,6 +267,14 @@ def fct_shipment_events(
     )
 
 
+def fct_shipment_events(
+    shipments: DataFrame, sla_policy: DataFrame, status_policy: DataFrame | None = None
+) -> DataFrame:
+    """Three events per line with the policy targets and the lateness flag."""
+    rows = shipment_event_rows(shipments, sla_policy, with_keys=True)
+    return shipment_event_columns(rows, status_policy)
+
+
 def shipment_refresh_keys(
     target: DataFrame, *, lookback_days: int = 7, month: str | None = None
 ) -> DataFrame:

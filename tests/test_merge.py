@@ -215,8 +215,8 @@ def test_clustered_files_are_sorted_by_day_and_key(spark, folder, large_scale):
 
 def test_one_repeated_row_is_spread_over_several_files(spark, folder, large_scale):
     copies = spark.range(0, 400_000, 1, 8).select(
-        F.md5(F.lit("same")).alias("k"),
-        F.lit(1).cast("bigint").alias("o"),
+        F.md5(F.least(F.col("id"), F.lit(0)).cast("string")).alias("k"),
+        F.least(F.col("id"), F.lit(0)).alias("o"),
         F.lit(dt.date(2024, 1, 1)).alias("d"),
         F.lit(1).alias("v"),
     )
