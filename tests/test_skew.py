@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stratamart.operators import storage
+from stratamart.operators.quality import check_metrics, relationship, unique
 from stratamart.plans import gold, silver
 
 SETTINGS = {
@@ -79,3 +81,33 @@ def test_hot_order_is_totalled_before_the_shuffle(spark, scaled_down, tables):
     text = executed(totals)
     join = text.index("SortMergeJoin")
     assert "partial_sum(" in text[join:] and "partial_sum(" in text[:join]
+
+
+def test_one_day_of_events_is_written_as_several_files(
+    spark, scaled_down, tables, folder, monkeypatch
+):
+    monkeypatch.setattr(storage, "FILE_BYTES", "64k")
+    orders, lines, customers = tables
+    one_day = F.least("ship_date", F.lit("2024-01-01").cast("date"))
+    lines = lines.withColumns(dict.fromkeys(["ship_date", "commit_date", "receipt_date"], one_day))
+    stored = storage.write_clustered(
+        gold.shipment_event_rows(
+            silver.int_shipment_events(orders, lines, customers), gold.dim_sla_policy(customers)
+        ),
+        folder,
+        gold.SHIPMENT_LAYOUT,
+        gold.shipment_event_columns,
+    )
+    counts = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert sum(counts) == 3 * N and len(counts) > 4 and max(counts) < N
+
+
+def test_hot_key_in_checks(spark, scaled_down, tables):
+    """Reference and uniqueness checks see one row per key and task after the shuffle."""
+    orders, lines, _ = tables
+    declared = [*relationship("l", "order_key", "o", "order_key"), *unique("l", "order_key")]
+    metrics = check_metrics({"l": lines, "o": orders}, declared, "s")
+    found = {r.check_name: (r.n_rows, r.n_bad) for r in metrics.collect()}
+    repeated = lines.groupBy("order_key").count().filter("count > 1").count()
+    assert found == {"relationships": (N, 0), "unique": (N, repeated)}
+    assert "Join" not in executed(metrics)
