@@ -108,19 +108,40 @@ def merge_fact(
     """
     rows_path = scratch_path(spark, "merge-rows")
     months_path = scratch_path(spark, "merge-months")
-    rows = rebuild_table(layout.with_month(source), rows_path)
-    require_unique(rows, [layout.key])
-
-    target = read_fact(spark, path, layout, source.schema)
-    lines = list(layout.line)
-    old_copies = target.join(rows.select(*lines), lines, "left_semi")
-    months = months_of(rows.select(layout.month).union(old_copies.select(layout.month)), layout)
-    if months:
-        merged = merge_upsert(
-            target.filter(in_months(layout, months)), rows, [layout.key], check_source=False
-        )
-        staged = write_clustered(merged.drop(layout.month), months_path, layout)
-        publish_months(spark, staged, path, layout, months)
-    drop_scratch(spark, rows_path)
-    drop_scratch(spark, months_path)
+    try:
+        rows = rebuild_table(layout.with_month(source), rows_path)
+        require_unique(rows, [layout.key])
+        target = read_fact(spark, path, layout, source.schema)
+        lines = list(layout.line)
+        old_copies = target.join(rows.select(*lines), lines, "left_semi")
+        found = rows.select(layout.month).union(old_copies.select(layout.month))
+        months = months_of(found, layout)
+        if months:
+            merged = merge_upsert(
+                target.filter(in_months(layout, months)), rows, [layout.key], check_source=False
+            )
+            staged = write_clustered(merged.drop(layout.month), months_path, layout)
+            _publish(spark, staged, path, layout, months, months_path)
+    finally:
+        drop_scratch(spark, rows_path)
     return read_fact(spark, path, layout, source.schema)
+
+
+def _publish(
+    spark: SparkSession,
+    staged: DataFrame,
+    path: str,
+    layout: FactLayout,
+    months: set[dt.date | None],
+    staged_path: str,
+) -> None:
+    """Publish, and keep the staged rows when that fails: they may be the only copy."""
+    try:
+        publish_months(spark, staged, path, layout, months)
+    except Exception as problem:
+        problem.add_note(
+            f"{path} may lack months; repeat publish_months with the rows kept in {staged_path} "
+            f"and the months {sorted(map(str, months))}"
+        )
+        raise
+    drop_scratch(spark, staged_path)

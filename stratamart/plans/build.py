@@ -34,6 +34,7 @@ from stratamart.plans import gold, silver
 from stratamart.plans.bronze import stage_all
 from stratamart.plans.checks import LAYER_CHECKS
 from stratamart.plans.export import read_results, run_name, store_results
+from stratamart.plans.schemas import as_declared
 from stratamart.plans.snapshots import SNAPSHOTS
 from stratamart.sources import read_sources
 
@@ -78,7 +79,8 @@ def rebuild_all(
     in_session = inheritable_thread_target(spark)
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
-        return item[0], rebuild_table(item[1], f"{folder}/{item[0]}")
+        name, table = item
+        return name, rebuild_table(as_declared(name, table), f"{folder}/{name}")
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         return dict(pool.map(in_session(write), tables.items()))
@@ -94,7 +96,7 @@ def build_order_items(
 ) -> DataFrame:
     """Create the order-item fact, or merge the recent (or replayed) rows into it."""
     layout = gold.ORDER_ITEM_LAYOUT
-    full = gold.fct_order_items(order_items)
+    full = as_declared("fct_order_items", gold.fct_order_items(order_items))
     target = _target(spark, path, layout, full)
     if target is None or full_refresh:
         narrow = gold.order_item_rows(order_items)
@@ -120,6 +122,7 @@ def build_shipment_events(
     """Create the shipment-event fact, or refresh whole lines of it."""
     layout = gold.SHIPMENT_LAYOUT
     full = gold.fct_shipment_events(shipments, sla_policy, status_policy)
+    full = as_declared("fct_shipment_events", full)
     target = _target(spark, path, layout, full)
     if target is None or full_refresh:
         return write_clustered(

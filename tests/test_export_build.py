@@ -20,6 +20,7 @@ from stratamart.plans.export import (
     read_results,
     store_results,
 )
+from stratamart.plans.schemas import SchemaMismatch, as_declared, register_views
 from stratamart.sources import read_daily_metrics_csv, read_sources
 
 RUN = dt.datetime(2024, 1, 1)
@@ -168,10 +169,32 @@ def test_jobs(spark, small, folder):
                           "--run-ts", "2024-01-02T00:00:00"]))
     results = read_results(spark, f"{out}/validation_results")
     assert results.count() == 133 + 8 and results.filter("not passed").count() == 0
+    names = register_views(spark, out)
+    assert len(names) == 5 + 2 + 10 + 1 + 4
+    late = spark.sql(
+        """select d.year, count_if(f.is_late_against_status_policy) as late
+           from fct_shipment_events f
+           join dim_date d on d.date_day = f.event_date
+           join snap_dim_customer c on c.customer_key = f.customer_key and c.valid_to is null
+           group by d.year"""
+    )
+    assert sum(r.late for r in late.collect()) > 0
+    assert spark.table("fct_orders").agg(F.sum("items_cnt")).first()[0] == 4599
+    for name in names:
+        spark.catalog.dropTempView(name)
     run(spark, arguments(["prune-results", "--out", out, "--keep", "0"]))
     assert read_results(spark, f"{out}/validation_results").count() == 0
 
 
+def test_undeclared_columns_are_refused(spark, small):
+    policy = gold.dim_status_policy(spark)
+    assert as_declared("dim_status_policy", policy) is policy
+    with pytest.raises(SchemaMismatch, match="event_order"):
+        as_declared("dim_status_policy", policy.withColumn("event_order", F.lit("1")))
+    with pytest.raises(SchemaMismatch, match="order of columns"):
+        as_declared("dim_status_policy", policy.select(*reversed(policy.columns)))
+
+
 def test_golden_daily_metric(spark, small):
     row = daily(staging(spark, small)).agg(
         F.count("*"),

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 import builders as b
 from plans_util import plan
-from stratamart.operators import storage
+from stratamart.operators import merge, storage
 from stratamart.operators.merge import (
     DuplicateMergeKeys,
     cutoff,
@@ -158,6 +159,34 @@ def test_stored_merge_refuses_repeated_keys_before_touching_the_fact(spark, fold
     assert content(read_fact(spark, path, LAYOUT, twice.schema)) == [("a", 1, "2024-01-05", 1)]
 
 
+def test_failed_publishing_keeps_the_staged_months(spark, folder, monkeypatch):
+    path = f"{folder}/fact"
+    write_clustered(rows(spark, ("a", 1, "2024-01-05", 1), ("b", 2, "2024-01-06", 1)), path, LAYOUT)
+
+    def fail(*args):
+        raise OSError("disk lost")
+
+    monkeypatch.setattr(merge, "publish_months", fail)
+    source = rows(spark, ("a", 1, "2024-02-05", 2))
+    with pytest.raises(OSError) as problem:
+        merge_fact(spark, path, source, LAYOUT)
+    (note,) = problem.value.__notes__
+    kept = re.search(r"kept in (\S+) ", note)[1]
+    staged = read_fact(spark, kept, LAYOUT, source.schema)
+    months = {dt.date(2024, 1, 1), dt.date(2024, 2, 1)}
+    storage.publish_months(spark, staged, path, LAYOUT, months)
+    assert content(read_fact(spark, path, LAYOUT, source.schema)) == [
+        ("a", 1, "2024-02-05", 2),
+        ("b", 2, "2024-01-06", 1),
+    ]
+    storage.drop_scratch(spark, kept)
+
+
+def test_only_scratch_paths_are_removed(spark, folder):
+    with pytest.raises(ValueError, match="not a scratch path"):
+        storage.drop_scratch(spark, folder)
+
+
 def test_cutoff_of_a_stored_fact_reads_the_newest_month(spark, folder):
     path = f"{folder}/fact"
     stored = write_clustered(
