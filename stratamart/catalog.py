@@ -88,6 +88,11 @@ def staging(spark: SparkSession, folder: str) -> Staging:
     return Staging(spark, folder)
 
 
+def stored(model: DataFrame, name: str) -> DataFrame:
+    """A model as the layered build has it: written once, then read where needed."""
+    return rebuild_table(model, scratch_path(model.sparkSession, name))
+
+
 def keyed(line_items: DataFrame) -> DataFrame:
     """One row per order line, where the test data repeats a line number."""
     order = ["ship_date", "part_key", "supplier_key", "extended_price", "discount"]
@@ -144,8 +149,8 @@ def all_tables(
     items = gold.int_order_items(orders, lines)
     shipped = shipments(t)
     if store_joins:
-        items = rebuild_table(items, scratch_path(spark, "int-order-items"))
-        shipped = rebuild_table(shipped, scratch_path(spark, "int-shipment-events"))
+        items = stored(items, "int-order-items")
+        shipped = stored(shipped, "int-shipment-events")
     fact = gold.fct_order_items(items)
     policy = gold.dim_sla_policy(customers)
     summary = gold.int_order_items_summary(fact)
@@ -285,19 +290,24 @@ def order_items_since(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def refresh_keys(spark: SparkSession, folder: str) -> DataFrame:
-    return gold.shipment_refresh_keys(shipment_events(staging(spark, folder)))
+    t = staging(spark, folder)
+    shipped = stored(shipments(t), "int-shipment-events")
+    policy = gold.dim_sla_policy(t["stg_tpch_customers"])
+    return gold.shipment_refresh_keys(gold.fct_shipment_events(shipped, policy))
 
 
 def refreshed_lines(spark: SparkSession, folder: str) -> DataFrame:
     t = staging(spark, folder)
-    return gold.shipments_to_refresh(shipments(t), shipment_events(t))
+    shipped = stored(shipments(t), "int-shipment-events")
+    policy = gold.dim_sla_policy(t["stg_tpch_customers"])
+    return gold.shipments_to_refresh(shipped, gold.fct_shipment_events(shipped, policy))
 
 
 def merged_order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Merge the increment into a stored fact that was loaded before discounts were booked."""
     t = staging(spark, folder)
     lines = keyed(t["stg_tpch_line_items"])
-    items = gold.int_order_items(t["stg_tpch_orders"], lines)
+    items = stored(gold.int_order_items(t["stg_tpch_orders"], lines), "int-order-items")
     undiscounted = _loaded(gold.fct_order_items(items)).withColumn(
         "net_item_sales_amount", F.col("extended_price").cast("decimal(18,4)")
     )
@@ -310,9 +320,10 @@ def merged_order_items(spark: SparkSession, folder: str) -> DataFrame:
 def merged_shipment_events(spark: SparkSession, folder: str) -> DataFrame:
     """Refresh recent lines of a stored fact that was loaded before lateness was judged."""
     t = staging(spark, folder)
-    lines = silver.int_shipment_events(
+    shipped = silver.int_shipment_events(
         t["stg_tpch_orders"], keyed(t["stg_tpch_line_items"]), t["stg_tpch_customers"]
     )
+    lines = stored(shipped, "int-shipment-events")
     policy = gold.dim_sla_policy(t["stg_tpch_customers"])
     unjudged = gold.fct_shipment_events(lines, policy).withColumn(
         "is_late_against_status_policy", F.lit(None).cast("boolean")
@@ -343,7 +354,7 @@ def replayed_order_items(spark: SparkSession, folder: str) -> DataFrame:
 def rebuilt_orders_enriched(spark: SparkSession, folder: str) -> DataFrame:
     t = staging(spark, folder)
     model = silver.int_orders_enriched(t["stg_tpch_orders"], t["stg_tpch_line_items"])
-    return presented(rebuild_table(model, scratch_path(spark, "int-orders-enriched")))
+    return presented(stored(model, "int-orders-enriched"))
 
 
 def clustered_order_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -499,8 +510,8 @@ def daily_suite(spark: SparkSession, folder: str) -> DataFrame:
 
 def stored_results(spark: SparkSession, folder: str) -> DataFrame:
     metrics = checks.run_suite(daily(staging(spark, folder)))
-    stored = store_results(metrics, scratch_path(spark, "results"), FIRST_RUN)
-    return stored.select(*METRIC_COLUMNS, "run_id", "run_ts")
+    kept = store_results(metrics, scratch_path(spark, "results"), FIRST_RUN)
+    return kept.select(*METRIC_COLUMNS, "run_id", "run_ts")
 
 
 def newest_events(spark: SparkSession, folder: str) -> DataFrame:
