@@ -103,7 +103,11 @@ PART_COLUMNS = (
 PART_HISTORY = "\nUNION ALL\n".join(
     [
         _versions(
-            PART_COLUMNS, "part_key", FIRST, SECOND, "dim_part WHERE part_size > 25 OR part_size <= 5"
+            PART_COLUMNS,
+            "part_key",
+            FIRST,
+            SECOND,
+            "dim_part WHERE part_size > 25 OR part_size <= 5",
         ),
         _versions(
             PART_COLUMNS,
@@ -135,7 +139,11 @@ SLA_COLUMNS = "market_segment, sla_target_days, policy_version"
 SLA_HISTORY = "\nUNION ALL\n".join(
     [
         _versions(
-            SLA_COLUMNS, "market_segment", FIRST, SECOND, "dim_sla_policy WHERE sla_target_days >= 10"
+            SLA_COLUMNS,
+            "market_segment",
+            FIRST,
+            SECOND,
+            "dim_sla_policy WHERE sla_target_days >= 10",
         ),
         _versions(
             SLA_COLUMNS, "market_segment", FIRST, None, "dim_sla_policy WHERE sla_target_days < 10"
@@ -357,7 +365,8 @@ ORACLES: dict[str, str] = {
         + ")"
     ),
     "export_daily_metrics": select(
-        """SELECT CAST(order_date AS VARCHAR) AS order_date, CAST(items_cnt AS VARCHAR) AS items_cnt,
+        """SELECT CAST(order_date AS VARCHAR) AS order_date,
+                  CAST(items_cnt AS VARCHAR) AS items_cnt,
                   CAST(gross_item_sales_amount AS VARCHAR) AS gross_item_sales_amount,
                   CAST(item_discount_amount AS VARCHAR) AS item_discount_amount
            FROM fct_orders"""

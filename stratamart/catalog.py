@@ -36,7 +36,6 @@ from stratamart.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-
 # Scenario days of the incremental queries: state of the target, replayed
 # range, day on which the daily metric is judged, times of the two history runs.
 LOADED_TO = dt.date(2001, 6, 30)

@@ -122,7 +122,7 @@ def violations(
         return duplicate_keys(df, list(check.columns))
     if check.kind == "relationships":
         column, parent_column = check.columns[0], check.parent[1]
-        known = parent.select(F.col(parent_column).alias(column))
+        known = parent.select(F.col(parent_column).alias(column)).distinct()
         return df.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
     if check.kind == "row_count_at_least":
         return df.agg(F.count(F.lit(1)).alias("n_rows")).filter(F.col("n_rows") < check.minimum)

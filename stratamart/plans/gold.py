@@ -116,7 +116,8 @@ def dim_status_policy(spark: SparkSession, policy_version: str = "v1") -> DataFr
 def dimension_keys() -> list[Column]:
     """Keys of the customer, part and supplier dimensions, from their natural keys."""
     return [
-        surrogate_key(f"{name}_key").alias(f"{name}_sk") for name in ("customer", "part", "supplier")
+        surrogate_key(f"{name}_key").alias(f"{name}_sk")
+        for name in ("customer", "part", "supplier")
     ]
 
 
@@ -302,6 +303,7 @@ def shipments_to_refresh(
     keys = shipment_refresh_keys(target, lookback_days=lookback_days, month=month)
     chosen = shipments.join(keys, line, "left_semi")
     if include_new_keys:
-        unseen = shipments.join(target.select(*line), line, "left_anti")
+        seen = target.select(*line).distinct()
+        unseen = shipments.join(seen, line, "left_anti")
         chosen = chosen.unionByName(unseen)
     return chosen

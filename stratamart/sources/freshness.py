@@ -13,10 +13,9 @@ LOADED_AT = {"orders": "o_orderdate", "lineitem": "l_shipdate"}
 
 def source_freshness(sources: dict[str, DataFrame]) -> DataFrame:
     """Newest load time per source that declares one; reads one column each."""
-    newest = [
-        sources[name]
-        .agg(F.max(F.col(column).cast("timestamp_ntz")).alias("max_loaded_at"))
-        .select(F.lit(name).alias("source"), F.lit(column).alias("loaded_at_field"), "max_loaded_at")
-        for name, column in LOADED_AT.items()
-    ]
+    newest = []
+    for name, column in LOADED_AT.items():
+        loaded = F.max(F.col(column).cast("timestamp_ntz")).alias("max_loaded_at")
+        labels = [F.lit(name).alias("source"), F.lit(column).alias("loaded_at_field")]
+        newest.append(sources[name].agg(loaded).select(*labels, "max_loaded_at"))
     return reduce(DataFrame.unionByName, newest)

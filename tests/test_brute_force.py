@@ -50,7 +50,8 @@ def test_dates(spark):
         known = None not in (c, s, r)
         return (min(c, s, r) if known else None, middle, max(c, s, r) if known else None)
 
-    df = spark.createDataFrame([(i, *t) for i, t in enumerate(triples)], "i int, c date, s date, r date")
+    numbered = [(i, *t) for i, t in enumerate(triples)]
+    df = spark.createDataFrame(numbered, "i int, c date, s date, r date")
     c, s, r = F.col("c"), F.col("s"), F.col("r")
     found = df.select(
         "i", least_strict(c, s, r), median_of_three(c, s, r), greatest_strict(c, s, r)

@@ -51,7 +51,13 @@ def test_declared_tests_are_complete():
 
 def test_every_kind_counts_its_violations(spark):
     child = table(
-        spark, (1, 1, "O"), (1, 1, "F"), (2, None, "X"), (None, -1, None), (None, 2, "O"), (9, 3, "P")
+        spark,
+        (1, 1, "O"),
+        (1, 1, "F"),
+        (2, None, "X"),
+        (None, -1, None),
+        (None, 2, "O"),
+        (9, 3, "P"),
     )
     parent = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id bigint")
     declared = [

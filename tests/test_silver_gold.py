@@ -48,9 +48,8 @@ def test_lines_meet_orders_in_one_join(spark, small):
 
 def test_lateness_is_strict_and_unknown_for_commit(spark):
     policy = gold.dim_sla_policy(b.customers(spark, (10, "BUILDING"), (12, "OTHER"), (13, None)))
-    rows = {
-        r.shipment_event_key: r for r in gold.fct_shipment_events(shipments(spark), policy).collect()
-    }
+    events = gold.fct_shipment_events(shipments(spark), policy)
+    rows = {r.shipment_event_key: r for r in events.collect()}
     assert len(rows) == 9
     late = lambda k: rows[k].is_late_against_status_policy
     assert late("1-1-COMMIT") is None
