@@ -32,8 +32,8 @@ def _no_text() -> Column:
 
 STAND_INS: dict[str, dict[str, Callable[[], Column]]] = {
     "lineitem": {
-        "l_commitdate": _shifted_ship_date("(l_orderkey * 7 + l_linenumber * 3) % 61 - 30"),
-        "l_receiptdate": _shifted_ship_date("(l_orderkey * 11 + l_linenumber * 5) % 30 - 5"),
+        "l_commitdate": _shifted_ship_date("(l_orderkey * 7 + bigint(l_linenumber) * 3) % 61 - 30"),
+        "l_receiptdate": _shifted_ship_date("(l_orderkey * 11 + bigint(l_linenumber) * 5) % 30 - 5"),
     },
     "customer": {
         "c_phone": _phone("c_nationkey", "c_custkey"),
