@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
+from stratamart.operators.merge import LOOKBACK_DAYS
 from stratamart.plans.build import build_layers
 from stratamart.plans.export import prune_results, publish_daily_metrics
 from stratamart.plans.gold import fct_orders
@@ -25,7 +26,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     build.add_argument("--end-date", type=dt.date.fromisoformat)
     build.add_argument("--full-refresh", action="store_true")
     build.add_argument("--include-new-keys", action="store_true")
-    build.add_argument("--policy-version", default="v1")
+    build.add_argument("--lookback-days", type=int, default=LOOKBACK_DAYS)
+    build.add_argument("--sla-policy-version", default="v1")
+    build.add_argument("--status-policy-version", default="v1")
 
     daily = jobs.add_parser("daily-metrics", help="export and validate the daily metric")
     daily.add_argument("--out", required=True, help="folder of the built tables")
@@ -52,7 +55,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
             window=window,
             full_refresh=args.full_refresh,
             include_new_keys=args.include_new_keys,
-            policy_version=args.policy_version,
+            lookback_days=args.lookback_days,
+            sla_policy_version=args.sla_policy_version,
+            status_policy_version=args.status_policy_version,
         )
     elif args.job == "daily-metrics":
         summary = spark.read.parquet(f"{args.out}/gold/int_order_items_summary")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from stratamart.functions import between_window
 from stratamart.operators.history import run_snapshot
-from stratamart.operators.merge import merge_fact
+from stratamart.operators.merge import LOOKBACK_DAYS, merge_fact
 from stratamart.operators.quality import (
     METRIC_COLUMNS,
     Check,
@@ -93,6 +93,7 @@ def build_order_items(
     *,
     full_refresh: bool = False,
     window: Window | None = None,
+    lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Create the order-item fact, or merge the recent (or replayed) rows into it."""
     layout = gold.ORDER_ITEM_LAYOUT
@@ -104,7 +105,9 @@ def build_order_items(
     if window is not None:
         rows = full.filter(between_window(F.col("order_date"), *window))
     else:
-        rows = gold.order_items_increment(order_items, target, month=layout.month)
+        rows = gold.order_items_increment(
+            order_items, target, lookback_days=lookback_days, month=layout.month
+        )
     return merge_fact(spark, path, rows, layout)
 
 
@@ -118,6 +121,7 @@ def build_shipment_events(
     full_refresh: bool = False,
     window: Window | None = None,
     include_new_keys: bool = False,
+    lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
     """Create the shipment-event fact, or refresh whole lines of it."""
     layout = gold.SHIPMENT_LAYOUT
@@ -135,7 +139,11 @@ def build_shipment_events(
         lines = shipments.filter(between_window(F.col("order_date"), *window))
     else:
         lines = gold.shipments_to_refresh(
-            shipments, target, include_new_keys=include_new_keys, month=layout.month
+            shipments,
+            target,
+            include_new_keys=include_new_keys,
+            lookback_days=lookback_days,
+            month=layout.month,
         )
     rows = gold.fct_shipment_events(lines, sla_policy, status_policy)
     return merge_fact(spark, path, rows, layout)
@@ -161,7 +169,9 @@ def build_layers(
     full_refresh: bool = False,
     window: Window | None = None,
     include_new_keys: bool = False,
-    policy_version: str = "v1",
+    lookback_days: int = LOOKBACK_DAYS,
+    sla_policy_version: str = "v1",
+    status_policy_version: str = "v1",
 ) -> DataFrame:
     """Build bronze, silver, gold and the histories; stop at the first failing gate.
 
@@ -201,8 +211,8 @@ def build_layers(
                 "dim_part": gold.dim_part(tables["stg_tpch_parts"]),
                 "dim_supplier": gold.dim_supplier(tables["stg_tpch_suppliers"]),
                 "dim_date": gold.dim_date(orders, lines),
-                "dim_sla_policy": gold.dim_sla_policy(customers, policy_version),
-                "dim_status_policy": gold.dim_status_policy(spark, policy_version),
+                "dim_sla_policy": gold.dim_sla_policy(customers, sla_policy_version),
+                "dim_status_policy": gold.dim_status_policy(spark, status_policy_version),
             },
             f"{out_dir}/gold",
         )
@@ -218,6 +228,7 @@ def build_layers(
             tables["int_order_items"],
             full_refresh=full_refresh,
             window=window,
+            lookback_days=lookback_days,
         )
         tables["fct_shipment_events"] = build_shipment_events(
             spark,
@@ -228,6 +239,7 @@ def build_layers(
             full_refresh=full_refresh,
             window=window,
             include_new_keys=include_new_keys,
+            lookback_days=lookback_days,
         )
         daily = gold.int_order_items_summary(tables["fct_order_items"])
         tables |= rebuild_all(

@@ -164,12 +164,13 @@ def test_jobs(spark, small, folder):
         table.write.parquet(f"{folder}/src/{name}.parquet")
     out = f"{folder}/out"
     run(spark, arguments(["build", "--src", f"{folder}/src", "--out", out,
-                          "--run-ts", "2024-01-01T00:00:00"]))
+                          "--run-ts", "2024-01-01T00:00:00", "--sla-policy-version", "v2"]))
     run(spark, arguments(["daily-metrics", "--out", out, "--csv", f"{folder}/csv",
                           "--run-ts", "2024-01-02T00:00:00"]))
     results = read_results(spark, f"{out}/validation_results")
     assert results.count() == 133 + 8 and results.filter("not passed").count() == 0
     names = register_views(spark, out)
+    assert {r[0] for r in spark.sql("select policy_version from dim_sla_policy").collect()} == {"v2"}
     assert len(names) == 5 + 2 + 10 + 1 + 4
     late = spark.sql(
         """select d.year, count_if(f.is_late_against_status_policy) as late
