@@ -299,7 +299,8 @@ def refreshed_lines(spark: SparkSession, folder: str) -> DataFrame:
     t = staging(spark, folder)
     shipped = stored(shipments(t), "int-shipment-events")
     policy = gold.dim_sla_policy(t["stg_tpch_customers"])
-    return gold.shipments_to_refresh(shipped, gold.fct_shipment_events(shipped, policy))
+    keys = gold.shipment_refresh_keys(gold.fct_shipment_events(shipped, policy))
+    return gold.shipments_to_refresh(shipped, stored(keys, "refresh-keys"))
 
 
 def merged_order_items(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,7 +330,8 @@ def merged_shipment_events(spark: SparkSession, folder: str) -> DataFrame:
     )
     layout, path = gold.SHIPMENT_LAYOUT, scratch_path(spark, "fct-shipment-events")
     target = write_clustered(unjudged, path, layout)
-    due = gold.shipments_to_refresh(lines, target, month=layout.month)
+    keys = gold.shipment_refresh_keys(target, month=layout.month)
+    due = gold.shipments_to_refresh(lines, stored(keys, "refresh-keys"))
     rows = gold.fct_shipment_events(due, policy)
     return merge_fact(spark, path, rows, layout).drop(layout.month)
 

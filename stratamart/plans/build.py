@@ -24,9 +24,11 @@ from stratamart.operators.quality import (
 )
 from stratamart.operators.storage import (
     FactLayout,
+    drop_scratch,
     load_if_exists,
     read_fact,
     rebuild_table,
+    scratch_path,
     settings,
     write_clustered,
 )
@@ -40,7 +42,6 @@ from stratamart.sources import read_sources
 
 CONCURRENT_WRITES = 8
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
-FORCE_SKEW_JOIN = "spark.sql.adaptive.forceOptimizeSkewedJoin"
 SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 40_000
 
@@ -64,12 +65,11 @@ def sized_session(spark: SparkSession, folder: str) -> AbstractContextManager[No
     Shuffle partitions follow the stored bytes (a higher setting of the session
     stays; adaptive execution merges small ones). Their upper limit keeps the
     driver's table of map outputs small; beyond it partitions grow and spill.
-    A skewed join is cut up even where an aggregate on the same key follows.
     """
     needed = math.ceil(stored_bytes(spark, folder) / SHUFFLE_BYTES)
     current = int(spark.conf.get(SHUFFLE_PARTITIONS))
     wanted = max(current, min(needed, MAX_SHUFFLE_PARTITIONS))
-    return settings(spark, {SHUFFLE_PARTITIONS: str(wanted), FORCE_SKEW_JOIN: "true"})
+    return settings(spark, {SHUFFLE_PARTITIONS: str(wanted)})
 
 
 def rebuild_all(
@@ -137,16 +137,21 @@ def build_shipment_events(
         )
     if window is not None:
         lines = shipments.filter(between_window(F.col("order_date"), *window))
-    else:
-        lines = gold.shipments_to_refresh(
-            shipments,
-            target,
-            include_new_keys=include_new_keys,
-            lookback_days=lookback_days,
-            month=layout.month,
-        )
-    rows = gold.fct_shipment_events(lines, sla_policy, status_policy)
-    return merge_fact(spark, path, rows, layout)
+        rows = gold.fct_shipment_events(lines, sla_policy, status_policy)
+        return merge_fact(spark, path, rows, layout)
+    keys = gold.shipment_refresh_keys(
+        target,
+        new_from=shipments if include_new_keys else None,
+        lookback_days=lookback_days,
+        month=layout.month,
+    )
+    keys_path = scratch_path(spark, "refresh-keys")
+    try:
+        lines = gold.shipments_to_refresh(shipments, rebuild_table(keys, keys_path))
+        rows = gold.fct_shipment_events(lines, sla_policy, status_policy)
+        return merge_fact(spark, path, rows, layout)
+    finally:
+        drop_scratch(spark, keys_path)
 
 
 def _target(

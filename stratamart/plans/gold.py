@@ -211,9 +211,9 @@ def fct_orders(summary: DataFrame) -> DataFrame:
 # Shipment events
 
 
+LINE = ["order_key", "line_number"]
 LINE_COLUMNS = [
-    "order_key",
-    "line_number",
+    *LINE,
     "part_key",
     "supplier_key",
     "customer_key",
@@ -277,33 +277,32 @@ def fct_shipment_events(
 
 
 def shipment_refresh_keys(
-    target: DataFrame, *, lookback_days: int = 7, month: str | None = None
+    target: DataFrame,
+    *,
+    new_from: DataFrame | None = None,
+    lookback_days: int = 7,
+    month: str | None = None,
 ) -> DataFrame:
-    """Lines of the target with a recent event, or with an impossible lag."""
+    """Lines of the target with a recent event, or with an impossible lag.
+
+    ``new_from`` adds the lines of a shipment table that the target has never
+    seen. Both sides are made distinct inside the map tasks first.
+    """
     start = cutoff_value(
         target, "event_date", lookback_days=lookback_days, when_empty=EPOCH, month=month
     )
-    return (
-        target.filter((F.col("event_date") >= F.lit(start)) | (F.col("days_since_prior_event") < 0))
-        .select("order_key", "line_number")
-        .distinct()
-    )
+    due = (F.col("event_date") >= F.lit(start)) | (F.col("days_since_prior_event") < 0)
+    keys = target.filter(due).select(*LINE).distinct()
+    if new_from is not None:
+        seen = target.select(*LINE).distinct()
+        keys = keys.unionByName(new_from.select(*LINE).distinct().join(seen, LINE, "left_anti"))
+    return keys
 
 
-def shipments_to_refresh(
-    shipments: DataFrame,
-    target: DataFrame,
-    *,
-    include_new_keys: bool = False,
-    lookback_days: int = 7,
-    month: str | None = None,
-) -> DataFrame:
-    """Shipment lines to rebuild; lines the target has never seen only on request."""
-    line = ["order_key", "line_number"]
-    keys = shipment_refresh_keys(target, lookback_days=lookback_days, month=month)
-    chosen = shipments.join(keys, line, "left_semi")
-    if include_new_keys:
-        seen = target.select(*line).distinct()
-        unseen = shipments.join(seen, line, "left_anti")
-        chosen = chosen.unionByName(unseen)
-    return chosen
+def shipments_to_refresh(shipments: DataFrame, keys: DataFrame) -> DataFrame:
+    """Shipment lines to rebuild.
+
+    Hand in stored keys: an aggregate right below the join would keep adaptive
+    execution from splitting a line that has very many copies.
+    """
+    return shipments.join(keys, LINE, "left_semi")

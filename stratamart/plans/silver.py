@@ -16,8 +16,8 @@ def int_orders_enriched(orders: DataFrame, line_items: DataFrame) -> DataFrame:
 
     Lines are totalled per order before the join, inside the map tasks first,
     so the join sees one row per order however many lines a single one has.
-    The second totalling only matters where an order is listed twice, and
-    keeps the partitioning of the join.
+    The second totalling only matters where an order is listed twice (its key is
+    checked to be unique before this layer), and keeps the join's partitioning.
     """
     totals = line_items.groupBy("order_key").agg(
         F.sum("extended_price").alias("gross"), F.sum("discount").alias("rates")

@@ -95,12 +95,15 @@ def test_shipment_refresh_takes_recent_and_impossible_lines(spark):
             F.col("days_since_prior_event")
         ),
     )
-    chosen = gold.shipments_to_refresh(shipped, target)
+    chosen = gold.shipments_to_refresh(shipped, gold.shipment_refresh_keys(target))
     assert sorted(r.order_key for r in chosen.collect()) == [1, 3]
-    wider = gold.shipments_to_refresh(shipped, target, include_new_keys=True)
+    wider = gold.shipments_to_refresh(
+        shipped, gold.shipment_refresh_keys(target, new_from=shipped)
+    )
     assert sorted(r.order_key for r in wider.collect()) == [1, 3, 4]
     # An empty target offers no keys, so nothing is loaded.
-    assert gold.shipments_to_refresh(shipped, target.limit(0)).count() == 0
+    assert gold.shipment_refresh_keys(target.limit(0)).count() == 0
+    assert gold.shipment_refresh_keys(target.limit(0), new_from=shipped).count() == 4
 
 
 def test_stored_merge_moves_rows_between_months(spark, folder):

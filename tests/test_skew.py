@@ -111,3 +111,18 @@ def test_hot_key_in_checks(spark, scaled_down, tables):
     repeated = lines.groupBy("order_key").count().filter("count > 1").count()
     assert found == {"relationships": (N, 0), "unique": (N, repeated)}
     assert "Join" not in executed(metrics)
+
+
+def test_hot_line_is_split_when_refreshed(spark, scaled_down, tables, folder):
+    """A third of the shipment lines are copies of one line that is due."""
+    orders, lines, customers = tables
+    shipped = silver.int_shipment_events(orders, lines, customers).withColumn(
+        "line_number", F.when(F.col("order_key") == 0, 1).otherwise(F.col("line_number"))
+    )
+    shipped = storage.rebuild_table(shipped, f"{folder}/shipped")
+    keys = gold.shipment_refresh_keys(
+        gold.fct_shipment_events(shipped, gold.dim_sla_policy(customers)), lookback_days=100
+    )
+    due = gold.shipments_to_refresh(shipped, storage.rebuild_table(keys, f"{folder}/keys"))
+    assert len(due.collect()) == N
+    assert "skew=true" in executed(due)
