@@ -6,21 +6,55 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratamart.operators.storage import scratch_path
+
 from .common import table
 from .compression_quality import quality_scores
+from .mixing import mix
+from .quality_rules import quality_rules
+from .token_orc import read_tokens, token_digests, write_tokens
 from .toxicity import toxicity_scores
 
 
+# The vocabulary of the token operators.
+VOCABULARY = "word_bpe_49k.json"
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(VOCABULARY)
+
+
+def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents"))
+
+
+def op4_token_orc(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "token-orc")
+    write_tokens(table(spark, folder, "documents"), path, vocabulary_path(), end_id=2)
+    return token_digests(read_tokens(spark, path))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_fair_queueing(spark: SparkSession, folder: str) -> DataFrame:
+    return mix(table(spark, folder, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken"
+    )
+
+
 def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_rules": op2_quality_rules,
+    "op4_token_orc": op4_token_orc,
     "op6_toxicity": op6_toxicity,
+    "op8_fair_queueing": op8_fair_queueing,
     "op10_compression_quality": op10_compression_quality,
 }
 
