@@ -11,6 +11,7 @@ from stratamart.operators.storage import scratch_path
 from .common import table
 from .compression_quality import quality_scores
 from .mixing import mix
+from .packing import document_pieces, pack
 from .quality_rules import quality_rules
 from .token_orc import read_tokens, token_digests, write_tokens
 from .toxicity import toxicity_scores
@@ -26,6 +27,10 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(document_pieces(table(spark, folder, "documents"), vocabulary_path(), end_id=1))
+
+
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
@@ -51,6 +56,7 @@ def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
     "op4_token_orc": op4_token_orc,
     "op6_toxicity": op6_toxicity,
