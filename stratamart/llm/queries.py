@@ -10,6 +10,7 @@ from stratamart.operators.storage import scratch_path
 
 from .common import table
 from .compression_quality import quality_scores
+from .jaccard import jaccard_components
 from .mixing import mix
 from .packing import document_pieces, pack
 from .quality_rules import quality_rules
@@ -51,6 +52,10 @@ def op8_fair_queueing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents"))
+
+
 def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_orc": op4_token_orc,
     "op6_toxicity": op6_toxicity,
     "op8_fair_queueing": op8_fair_queueing,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_compression_quality": op10_compression_quality,
 }
 
