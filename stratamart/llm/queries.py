@@ -16,6 +16,7 @@ from .packing import document_pieces, pack
 from .quality_rules import quality_rules
 from .token_orc import read_tokens, token_digests, write_tokens
 from .toxicity import toxicity_scores
+from .vector_links import vector_links
 
 
 # The vocabulary of the token operators.
@@ -46,6 +47,10 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op7_spherical_caps(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_links(table(spark, folder, "embeddings"))
+
+
 def op8_fair_queueing(spark: SparkSession, folder: str) -> DataFrame:
     return mix(table(spark, folder, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
@@ -65,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op4_token_orc": op4_token_orc,
     "op6_toxicity": op6_toxicity,
+    "op7_spherical_caps": op7_spherical_caps,
     "op8_fair_queueing": op8_fair_queueing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_compression_quality": op10_compression_quality,
