@@ -17,6 +17,7 @@ from .quality_rules import quality_rules
 from .token_orc import read_tokens, token_digests, write_tokens
 from .toxicity import toxicity_scores
 from .vector_links import vector_links
+from .warc import read_archives, write_archives
 
 
 # The vocabulary of the token operators.
@@ -37,6 +38,14 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+def op3_warc_chain(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    write_archives(table(spark, folder, "pages"), path)
+    return read_archives(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def op4_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-orc")
     write_tokens(table(spark, folder, "documents"), path, vocabulary_path(), end_id=2)
@@ -68,6 +77,7 @@ def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc_chain": op3_warc_chain,
     "op4_token_orc": op4_token_orc,
     "op6_toxicity": op6_toxicity,
     "op7_spherical_caps": op7_spherical_caps,
