@@ -11,6 +11,7 @@ from stratamart.operators.storage import scratch_path
 from .common import table
 from .compression_quality import quality_scores
 from .jaccard import jaccard_components
+from .licences import licence_scan
 from .mixing import mix
 from .packing import document_pieces, pack
 from .quality_rules import quality_rules
@@ -52,6 +53,10 @@ def op4_token_orc(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(read_tokens(spark, path))
 
 
+def op5_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licence_scan(table(spark, folder, "documents"))
+
+
 def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_warc_chain": op3_warc_chain,
     "op4_token_orc": op4_token_orc,
+    "op5_licence_scan": op5_licence_scan,
     "op6_toxicity": op6_toxicity,
     "op7_spherical_caps": op7_spherical_caps,
     "op8_fair_queueing": op8_fair_queueing,
