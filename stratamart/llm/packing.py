@@ -11,12 +11,14 @@ Items are placed in bands of falling size, so that small ones are left to fill
 up. Once items are small and outnumber the gaps, a round lays gaps and items
 end to end, largest first, and an item takes the gap it falls into, unless it
 straddles a border. When no item fits, as many sequences are opened as the
-rest needs at least.
+rest needs at least. What is left of a band once it fits one range is finished
+by the task of that range, item by item, without further rounds.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,7 +35,7 @@ CAPACITY = 4096
 # Shares of the capacity above which items are placed before smaller ones.
 BANDS = (3 / 16, 3 / 64, 3 / 256, 0.0)
 SMALL = 1 / 8  # largest item, as a share of the capacity, of a round that lays items end to end
-ROWS_PER_TASK = 200_000
+ROWS_PER_TASK = 100_000  # of a range
 BLOCK = 256  # capacities whose gaps and items one group of rows holds when laid end to end
 
 
@@ -58,9 +60,9 @@ def document_pieces(
         coder = WordCoder(shared.value)
         for batch in batches:
             rows = []
-            pairs = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            for doc_id, text in pairs:
-                ids = coder.encode(text) + end
+            coded = coder.encode_all(batch.column("text").to_pylist())
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), width)):
                     rows.append((doc_id, piece, at // 4, ids[at : at + width]))
             doc_ids, numbers, starts, contents = zip(*rows)
@@ -157,7 +159,7 @@ class _Packer:
     def place(self, short: DataFrame) -> DataFrame:
         """(piece_no, length, bin) of all rows of (piece_no, length)."""
         whole = self._items(short)
-        gaps = self.open(self._least(whole))
+        gaps = self.open(self._least(whole)) if whole.n > self.rows_per_task else self.open(0)
         high = self.capacity
         for share in BANDS:
             low = int(share * self.capacity)
@@ -190,6 +192,9 @@ class _Packer:
             resting.append(gaps.where(F.col("gap") < now.smallest))
             gaps = gaps.where(F.col("gap") >= now.smallest)
             n_gaps = gaps.count()
+            if now.n + n_gaps <= self.rows_per_task:
+                gaps = self._finish(items, gaps)
+                break
             if not n_gaps or not progress:
                 more = self._least(now)
                 gaps, n_gaps = gaps.unionByName(self.open(more)), n_gaps + more
@@ -211,6 +216,50 @@ class _Packer:
     def _keep(self, matched: DataFrame) -> None:
         self.placed.append(matched.select("piece_no", "length", "bin"))
 
+    def _finish(self, items: DataFrame, gaps: DataFrame) -> DataFrame:
+        """Place items that fit one range, the largest first, each into its best gap; the gaps left."""
+        capacity, opened = self.capacity, self.opened
+        both = items.select("piece_no", "length", F.lit(None).cast("long").alias("bin")).unionByName(
+            gaps.select(
+                F.lit(None).cast("long").alias("piece_no"), F.col("gap").alias("length"), "bin"
+            )
+        )
+
+        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+            pieces, free = [], []
+            for batch in batches:
+                for piece, size, number in zip(*(c.to_pylist() for c in batch.columns)):
+                    if piece is None:
+                        free.append((size, number))
+                    else:
+                        pieces.append((-size, piece))
+            pieces.sort()
+            free.sort()
+            fresh, rows = opened, []
+            for size, piece in pieces:
+                at = bisect_left(free, (-size, -1))
+                if at < len(free):
+                    gap, number = free.pop(at)
+                else:
+                    gap, number = capacity, fresh
+                    fresh += 1
+                rows.append((piece, -size, number, None))
+                if gap + size:
+                    insort(free, (gap + size, number))
+            rows += [(None, None, number, gap) for gap, number in free]
+            for start in range(0, len(rows), 10_000):
+                names = ("piece_no", "length", "bin", "gap")
+                yield dict(zip(names, zip(*rows[start : start + 10_000])))
+
+        # One range's worth of rows at most.
+        done = stored(
+            map_task(both.repartition(1), place, "piece_no long, length long, bin long, gap long"),
+            "pack-finish",
+        )
+        self._keep(done.where("piece_no is not null"))
+        self.opened = max(opened, (done.agg(F.max("bin")).first()[0] or 0) + 1)
+        return done.where("piece_no is null").select("bin", "gap")
+
     def _sweep(self, items: DataFrame, gaps: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
         """One item for each gap at most; the items and gaps that are left."""
         both = items.select(
@@ -256,7 +305,7 @@ class _Packer:
         left_items, left_gaps = swept.where("bin is null"), swept.where("piece_no is null")
         self._keep(swept.where("place is null"))
         updated = swept.where("place is null").select("bin", (F.col("gap") - F.col("length")).alias("gap"))
-        matches = self._matches(swept) if parts > 1 else []
+        matches = self._matches(swept)
         if not matches:
             return (
                 left_items.select("piece_no", "length"),
