@@ -12,8 +12,14 @@ from pyspark.sql import functions as F
 
 from stratamart.llm.common import stored, table
 from stratamart.llm.compression_quality import fit_quality, with_quality
+from stratamart.llm.jaccard import jaccard_components
+from stratamart.llm.mixing import mix
+from stratamart.llm.packing import document_pieces, pack
+from stratamart.llm.quality_rules import quality_rules
+from stratamart.llm.queries import vocabulary_path
 
 QUALITY_THRESHOLD = 0.3
+END_ID = 1
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
@@ -23,8 +29,55 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
     return with_quality(docs, model, score).where(F.col(score) >= QUALITY_THRESHOLD).drop(score)
 
 
+def drop_rule_breakers(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that break no quality rule."""
+    row = F.struct(*[F.col(name) for name in docs.columns]).alias("row")
+    # Stored before the filter, which the optimizer would otherwise copy all counts into.
+    judged = stored(quality_rules(docs, carry=row).select("row", "kept"), "rules")
+    return judged.where("kept").select("row.*")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each group of near copies, that with the smallest id.
+
+    Of rows that repeat an id one stays, with the smallest text; rows without an id all stay.
+    """
+    groups = stored(jaccard_components(docs).select("doc_id", "component_id"), "near-copies")
+    dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    if not repeated.take(1):
+        return kept
+    alone = kept.where("doc_id is null")
+    others = [F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")]
+    one_each = kept.where("doc_id is not null").groupBy("doc_id").agg(*others).select("row.*")
+    return alone.unionByName(one_each).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    key = ["doc_id", "source", "text_hash"]
+    taken = mix(docs).where("copies > 0").select(*key, "copies").distinct()
+    hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = [hashed[name].eqNullSafe(taken[name]) for name in key]
+    return (
+        hashed.join(taken, same)
+        .select(*[hashed[name] for name in docs.columns], F.explode(F.expr("sequence(1, copies)")))
+        .drop("col")
+    )
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of documents with their sequence and place, as the packing operator gives them."""
+    return pack(document_pieces(docs, vocabulary_path(), END_ID))
+
+
 STAGES = [
     ("quality classifier", drop_low_quality),
+    ("quality rules", drop_rule_breakers),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
 ]
 
 # The trained classifier, the compressed sizes and the packing are beyond SQL.

@@ -85,15 +85,15 @@ def _covered(starts: Column) -> Column:
     )
 
 
-def with_counts(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, and every count that a rule names) per row of ``docs``.
+def with_counts(docs: DataFrame, carry: Column | str = "doc_id") -> DataFrame:
+    """One carried column, n_words, and every count that a rule names, per row of ``docs``.
 
     Windows are compared by 64-bit hashes within one text. They are sorted only
     in texts in which one repeats.
     """
     text = F.coalesce("text", F.lit(""))
     words = docs.select(
-        "doc_id",
+        F.col(carry).alias(carry) if isinstance(carry, str) else carry,
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
         F.regexp_count(text, F.lit(f"[{SYMBOLS}]")).alias("n_symbols"),
         F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)).alias("lines"),
@@ -127,7 +127,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     stop_words = F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS))
     cut_lines = F.filter("lines", lambda line: line.rlike(rf"(\.\.\.|…)[{SPACE}]*$"))
     return placed.select(
-        "doc_id",
+        words.columns[0],
         F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         F.col("n_symbols").cast("long").alias("n_symbols"),
@@ -145,8 +145,10 @@ def base_failed() -> Column:
     )
 
 
-def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """Counts, ``base_failed``, the names of the rules a text breaks, and ``kept``.
+def quality_rules(
+    docs: DataFrame, rules: tuple[Rule, ...] = RULES, carry: Column | str = "doc_id"
+) -> DataFrame:
+    """The carried column, counts, ``base_failed``, the names of the rules a text breaks, and ``kept``.
 
     One row per row of ``docs``, repeated rows each, whatever other columns
     there are. A null text has no words, so it fails the base like an empty
@@ -156,7 +158,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
         F.array(*[F.when(rule.broken(), rule.name) for rule in rules]), lambda x: x.isNotNull()
     )
     return (
-        with_counts(docs)
+        with_counts(docs, carry)
         .select("*", base_failed().alias("base_failed"), broken.alias("broken_rules"))
         .select("*", (~F.col("base_failed") & (F.size("broken_rules") == 0)).alias("kept"))
     )
