@@ -110,9 +110,10 @@ RELATIONS: dict[str, str] = {
                (SELECT max(coalesce(receipt_date, ship_date, commit_date))
                 FROM stg_tpch_line_items) AS end_date""",
     "date_spine": """
-        SELECT CAST(start_date + CAST(n AS INTEGER) AS DATE) AS date_day
-        FROM date_bounds, range(20000) AS days(n)
-        WHERE start_date + CAST(n AS INTEGER) <= end_date""",
+        SELECT CAST(unnest(generate_series(CAST(start_date AS TIMESTAMP),
+                                           CAST(end_date AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+               AS date_day
+        FROM date_bounds""",
     "dim_date": """
         SELECT date_day,
                CAST(year(date_day) AS INTEGER) AS year,
