@@ -36,8 +36,8 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> None:
-    """Raise when a key occurs more than once."""
-    sample = duplicate_keys(df, keys).limit(5).collect()
+    """Raise when a key occurs more than once; a NULL equals no other key."""
+    sample = duplicate_keys(df.dropna(subset=keys), keys).limit(5).collect()
     if sample:
         raise DuplicateMergeKeys(f"duplicate {', '.join(keys)}: {[tuple(r) for r in sample]}")
 
@@ -47,6 +47,9 @@ def merge_upsert(
 ) -> DataFrame:
     """Target rows whose key is not in the source, plus all source rows.
 
+    A key with a NULL matches nothing, so its rows are inserted, and inserted
+    again when the merge is repeated.
+
     The source is read twice (keys, rows): hand in a stored or checkpointed
     one when it is expensive to compute.
     """
@@ -102,7 +105,8 @@ def merge_fact(
     """Merge rows into a stored fact, rewriting only the months concerned.
 
     These are the months of the new rows and the months in which older copies
-    of their keys live, since a changed date may move a row. New rows and
+    of their keys live, since a changed date may move a row. Rows with a NULL
+    key replace nothing. New rows and
     rewritten months are written to the shared folder before the fact is
     touched; the last step can be repeated from there.
     """

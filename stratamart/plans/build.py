@@ -95,11 +95,17 @@ def build_order_items(
     window: Window | None = None,
     lookback_days: int = LOOKBACK_DAYS,
 ) -> DataFrame:
-    """Create the order-item fact, or merge the recent (or replayed) rows into it."""
+    """Create the order-item fact, or merge the recent rows into it.
+
+    A window limits either to its order days; it excludes a full refresh.
+    """
     layout = gold.ORDER_ITEM_LAYOUT
     full = as_declared("fct_order_items", gold.fct_order_items(order_items))
     target = _target(spark, path, layout, full)
+    _refuse_both(full_refresh, window)
     if target is None or full_refresh:
+        if window is not None:
+            order_items = order_items.filter(between_window(F.col("order_date"), *window))
         narrow = gold.order_item_rows(order_items)
         return write_clustered(narrow, path, layout, gold.order_item_columns)
     if window is not None:
@@ -128,7 +134,10 @@ def build_shipment_events(
     full = gold.fct_shipment_events(shipments, sla_policy, status_policy)
     full = as_declared("fct_shipment_events", full)
     target = _target(spark, path, layout, full)
+    _refuse_both(full_refresh, window)
     if target is None or full_refresh:
+        if window is not None:
+            shipments = shipments.filter(between_window(F.col("order_date"), *window))
         return write_clustered(
             gold.shipment_event_rows(shipments, sla_policy),
             path,
@@ -154,6 +163,11 @@ def build_shipment_events(
         drop_scratch(spark, keys_path)
 
 
+def _refuse_both(full_refresh: bool, window: Window | None) -> None:
+    if full_refresh and window is not None:
+        raise ValueError("a full refresh has no window: leave one of the two out")
+
+
 def _target(
     spark: SparkSession, path: str, layout: FactLayout, like: DataFrame
 ) -> DataFrame | None:
