@@ -26,16 +26,16 @@ SHIPMENT_FACT = """SELECT shipment_event_key, order_key, line_number, part_key,
 # Order-item merge: the fact as loaded up to a day before discounts were booked.
 ORDER_ITEM_MERGE = {
     "loaded": """SELECT * REPLACE (CAST(extended_price AS DECIMAL(18,4)) AS net_item_sales_amount)
-        FROM keyed_fct_order_items WHERE order_date <= DATE '2001-06-30'""",
-    "arriving": """SELECT * FROM keyed_fct_order_items
+        FROM dated_fct_order_items WHERE order_date <= DATE '2001-06-30'""",
+    "arriving": """SELECT * FROM dated_fct_order_items
         WHERE order_date >= (SELECT max(order_date) - 7 FROM loaded)""",
 }
 
 # Shipment refresh: the fact as loaded before lateness was judged.
 SHIPMENT_MERGE = {
-    "due_lines": """SELECT DISTINCT order_key, line_number FROM keyed_fct_shipment_events
+    "due_lines": """SELECT DISTINCT order_key, line_number FROM dated_fct_shipment_events
         WHERE event_date >= (SELECT coalesce(max(event_date), DATE '1900-01-01') - 7
-                             FROM keyed_fct_shipment_events)
+                             FROM dated_fct_shipment_events)
            OR days_since_prior_event < 0""",
 }
 
@@ -338,14 +338,17 @@ ORACLES: dict[str, str] = {
         ORDER_ITEM_FACT.format("arriving")
         + " UNION ALL "
         + ORDER_ITEM_FACT.format("loaded")
-        + " WHERE order_item_key NOT IN (SELECT order_item_key FROM arriving)",
+        + """ WHERE NOT EXISTS (
+             SELECT 1 FROM arriving a
+             WHERE (a.order_key, a.line_number, a.part_key, a.supplier_key)
+                 = (loaded.order_key, loaded.line_number, loaded.part_key, loaded.supplier_key))""",
         ORDER_ITEM_MERGE,
     ),
     "merge_shipment_events": select(
         SHIPMENT_FACT.format(
             "CASE WHEN d.order_key IS NOT NULL THEN is_late_against_status_policy END"
             " AS is_late_against_status_policy",
-            "keyed_fct_shipment_events LEFT JOIN due_lines d USING (order_key, line_number)",
+            "dated_fct_shipment_events LEFT JOIN due_lines d USING (order_key, line_number)",
         ),
         SHIPMENT_MERGE,
     ),

@@ -77,14 +77,11 @@ RELATIONS: dict[str, str] = {
                s_acctbal AS account_balance, s_phone AS phone, s_address AS address,
                s_comment AS comment
         FROM src_supplier""",
-    # One row per order line where the test data repeats a line number.
-    "keyed_line_items": """
-        SELECT * EXCLUDE (copy) FROM (
-          SELECT *, row_number() OVER (
-                   PARTITION BY order_key, line_number
-                   ORDER BY ship_date, part_key, supplier_key, extended_price, discount) AS copy
-          FROM stg_tpch_line_items)
-        WHERE copy = 1""",
+    # Lines whose number includes the ship day, where the test data repeats a line number.
+    "dated_line_items": """
+        SELECT * REPLACE (CAST(line_number + 10 * date_diff('day', DATE '1970-01-01', ship_date)
+                               AS INTEGER) AS line_number)
+        FROM stg_tpch_line_items""",
     "int_orders_enriched": """
         SELECT o.order_key AS order_id, o.order_date, o.customer_key AS customer_id,
                sum(l.extended_price) AS gross_item_sales_amount,
@@ -213,9 +210,9 @@ def shipment_fact(events: str) -> str:
 
 RELATIONS |= {
     "int_order_items": order_items("stg_tpch_line_items"),
-    "keyed_order_items": order_items("keyed_line_items"),
+    "dated_order_items": order_items("dated_line_items"),
     "fct_order_items": order_item_fact("int_order_items"),
-    "keyed_fct_order_items": order_item_fact("keyed_order_items"),
+    "dated_fct_order_items": order_item_fact("dated_order_items"),
     "int_order_items_summary": """
         SELECT order_date, count(*) AS items_cnt,
                sum(net_item_sales_amount) AS gross_item_sales_amount,
@@ -223,11 +220,11 @@ RELATIONS |= {
         FROM fct_order_items GROUP BY 1""",
     "fct_orders": "SELECT * FROM int_order_items_summary",
     "int_shipment_events": shipment_lines("stg_tpch_line_items"),
-    "keyed_shipments": shipment_lines("keyed_line_items"),
+    "dated_shipments": shipment_lines("dated_line_items"),
     "shipment_rows": unpivoted("int_shipment_events"),
-    "keyed_shipment_rows": unpivoted("keyed_shipments"),
+    "dated_shipment_rows": unpivoted("dated_shipments"),
     "fct_shipment_events": shipment_fact("shipment_rows"),
-    "keyed_fct_shipment_events": shipment_fact("keyed_shipment_rows"),
+    "dated_fct_shipment_events": shipment_fact("dated_shipment_rows"),
 }
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,12 @@ from stratamart.operators.merge import EPOCH, cutoff, merge_fact
 from stratamart.operators.quality import METRIC_COLUMNS, Check, check_metrics, violations
 from stratamart.operators.retention import latest_n_per_group
 from stratamart.operators.spine import date_bounds, date_spine
-from stratamart.operators.storage import rebuild_table, scratch_path, write_clustered
+from stratamart.operators.storage import (
+    FactLayout,
+    rebuild_table,
+    scratch_path,
+    write_clustered,
+)
 from stratamart.operators.unpivot import unpivot_shipments
 from stratamart.plans import checks, gold, silver, snapshots
 from stratamart.plans.bronze import STAGED, stage_all, staged
@@ -92,12 +98,23 @@ def stored(model: DataFrame, name: str) -> DataFrame:
     return rebuild_table(model, scratch_path(model.sparkSession, name))
 
 
-def keyed(line_items: DataFrame) -> DataFrame:
-    """One row per order line, where the test data repeats a line number."""
-    order = ["ship_date", "part_key", "supplier_key", "extended_price", "discount"]
-    return latest_n_per_group(
-        line_items, ["order_key", "line_number"], [F.asc(c) for c in order], keep=1
-    )
+# The test data repeats line numbers of an order; a ship day tells such lines apart, together
+# with part and supplier. Merges use all of these as the key, so that no line is left out.
+MERGED_LINE = ("order_key", "line_number", "part_key", "supplier_key")
+
+
+def dated_lines(line_items: DataFrame) -> DataFrame:
+    """Order lines whose line number includes the ship day."""
+    day = F.datediff("ship_date", F.lit("1970-01-01").cast("date"))
+    return line_items.withColumn("line_number", (F.col("line_number") + 10 * day).cast("int"))
+
+
+def merge_layout(layout: FactLayout) -> FactLayout:
+    return replace(layout, key="merge_key", line=MERGED_LINE)
+
+
+def with_merge_key(fact: DataFrame, *more: str) -> DataFrame:
+    return fact.withColumn("merge_key", joined_key(*MERGED_LINE, *more))
 
 
 def order_items(t: Mapping[str, DataFrame]) -> DataFrame:
@@ -306,34 +323,37 @@ def refreshed_lines(spark: SparkSession, folder: str) -> DataFrame:
 def merged_order_items(spark: SparkSession, folder: str) -> DataFrame:
     """Merge the increment into a stored fact that was loaded before discounts were booked."""
     t = staging(spark, folder)
-    lines = keyed(t["stg_tpch_line_items"])
+    lines = dated_lines(t["stg_tpch_line_items"])
     items = stored(gold.int_order_items(t["stg_tpch_orders"], lines), "int-order-items")
     undiscounted = _loaded(gold.fct_order_items(items)).withColumn(
         "net_item_sales_amount", F.col("extended_price").cast("decimal(18,4)")
     )
-    layout, path = gold.ORDER_ITEM_LAYOUT, scratch_path(spark, "fct-order-items")
-    target = write_clustered(undiscounted, path, layout)
-    rows = gold.order_items_increment(items, target, month=layout.month)
-    return presented(merge_fact(spark, path, rows, layout).drop(layout.month))
+    layout = merge_layout(gold.ORDER_ITEM_LAYOUT)
+    path = scratch_path(spark, "fct-order-items")
+    target = write_clustered(with_merge_key(undiscounted), path, layout)
+    rows = with_merge_key(gold.order_items_increment(items, target, month=layout.month))
+    merged = merge_fact(spark, path, rows, layout)
+    return presented(merged.drop(layout.month, layout.key))
 
 
 def merged_shipment_events(spark: SparkSession, folder: str) -> DataFrame:
     """Refresh recent lines of a stored fact that was loaded before lateness was judged."""
     t = staging(spark, folder)
     shipped = silver.int_shipment_events(
-        t["stg_tpch_orders"], keyed(t["stg_tpch_line_items"]), t["stg_tpch_customers"]
+        t["stg_tpch_orders"], dated_lines(t["stg_tpch_line_items"]), t["stg_tpch_customers"]
     )
     lines = stored(shipped, "int-shipment-events")
     policy = gold.dim_sla_policy(t["stg_tpch_customers"])
     unjudged = gold.fct_shipment_events(lines, policy).withColumn(
         "is_late_against_status_policy", F.lit(None).cast("boolean")
     )
-    layout, path = gold.SHIPMENT_LAYOUT, scratch_path(spark, "fct-shipment-events")
-    target = write_clustered(unjudged, path, layout)
+    layout = merge_layout(gold.SHIPMENT_LAYOUT)
+    path = scratch_path(spark, "fct-shipment-events")
+    target = write_clustered(with_merge_key(unjudged, "event_type"), path, layout)
     keys = gold.shipment_refresh_keys(target, month=layout.month)
     due = gold.shipments_to_refresh(lines, stored(keys, "refresh-keys"))
-    rows = gold.fct_shipment_events(due, policy)
-    return merge_fact(spark, path, rows, layout).drop(layout.month)
+    rows = with_merge_key(gold.fct_shipment_events(due, policy), "event_type")
+    return merge_fact(spark, path, rows, layout).drop(layout.month, layout.key)
 
 
 def replayed_order_items(spark: SparkSession, folder: str) -> DataFrame:

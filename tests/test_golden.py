@@ -5,7 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from stratamart.catalog import daily, keyed, staging
+from builders import keyed
+from stratamart.catalog import daily, staging
 from stratamart.plans import gold, silver
 
 GOLDEN = {

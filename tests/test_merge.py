@@ -202,7 +202,8 @@ def test_cutoff_of_a_stored_fact_reads_the_newest_month(spark, folder):
 
 
 def test_merging_the_rest_equals_a_full_build(spark, small, folder):
-    from stratamart.catalog import keyed, staging
+    from builders import keyed
+    from stratamart.catalog import staging
 
     t = staging(spark, small)
     items = gold.int_order_items(t["stg_tpch_orders"], keyed(t["stg_tpch_line_items"]))
