@@ -128,8 +128,12 @@ def mix(docs: DataFrame) -> DataFrame:
             "text_hash",
         )
 
-    copies = served.where("words > 0").select(
-        F.explode(F.array(*[turn(F.lit(e)) for e in range(REPEATS)])).alias("turn"), "words"
+    # Stored: dealing rows by range reads them more than once.
+    copies = stored(
+        served.where("words > 0").select(
+            F.explode(F.array(*[turn(F.lit(e)) for e in range(REPEATS)])).alias("turn"), "words"
+        ),
+        "mix-copies",
     )
     taken_so_far = running_sums(
         copies, [F.col("turn")], {"before": "words"}, rows=REPEATS * n, purpose="mix-turns"
