@@ -13,6 +13,7 @@ from .compression_quality import quality_scores
 from .jaccard import jaccard_components
 from .licences import licence_scan
 from .mixing import mix
+from .oracles import OP2, OP8
 from .packing import document_pieces, pack
 from .quality_rules import quality_rules
 from .token_orc import read_tokens, token_digests, write_tokens
@@ -36,7 +37,16 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules(table(spark, folder, "documents"))
+    return quality_rules(table(spark, folder, "documents")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
 
 
 def op3_warc_chain(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,4 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_compression_quality": op10_compression_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": OP2,
+    "op8_fair_queueing": OP8,
+}

@@ -1,0 +1,248 @@
+"""Packing, WARC archives and the pipeline on edge cases and against brute force."""
+
+import hashlib
+import math
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from stratamart.llm import compression_quality, packing, warc
+from stratamart.llm.packing import document_pieces, pack, sequences, sweep_matches
+from stratamart.llm.queries import vocabulary_path
+from stratamart.llm.scan import running_sums
+
+# Packing
+
+
+def check_packed(rows, lengths, capacity):
+    """Every length once, and gapless sequences no longer than the capacity."""
+    assert sorted(r.length for r in rows) == sorted(lengths)
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for parts in bins.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= capacity
+    return len(bins)
+
+
+def best_fit_decreasing(lengths, capacity):
+    gaps = []
+    for length in sorted(lengths, reverse=True):
+        fitting = [g for g in gaps if g >= length]
+        if fitting:
+            gaps.remove(min(fitting))
+            gaps.append(min(fitting) - length)
+        else:
+            gaps.append(capacity - length)
+    return len(gaps)
+
+
+@pytest.mark.parametrize("rows_per_task", [100_000, 60])
+@pytest.mark.parametrize("kind", ["mixed", "alike", "small", "large", "whole"])
+def test_packing_is_close_to_best_fit_decreasing(spark, kind, rows_per_task):
+    rng = np.random.default_rng(5)
+    capacity = 256
+    lengths = {
+        "mixed": np.minimum(256, 1 + rng.exponential(60, 300).astype(int)),
+        "alike": np.full(200, 100),
+        "small": rng.integers(1, 5, 400),
+        "large": rng.integers(120, 257, 150),
+        "whole": np.full(20, 256),
+    }[kind].tolist()
+    given = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "id long, length long")
+    rows = pack(given, capacity, rows_per_task).collect()
+    used = check_packed(rows, lengths, capacity)
+    least = best_fit_decreasing(lengths, capacity)
+    assert used <= math.ceil(least * 1.05) + 1
+
+
+def test_no_rows_no_sequences(spark, no_docs):
+    assert pack(document_pieces(no_docs, vocabulary_path())).count() == 0
+
+
+def test_pieces_hold_whole_texts(spark, docs):
+    given = docs.select("doc_id", "text").collect()
+    packed = pack(document_pieces(docs, vocabulary_path(), 1, 512, keep_ids=True), 512)
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    expected = []
+    for doc_id, text in given:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        for piece, start in enumerate(range(0, len(ids), 512)):
+            part = np.array(ids[start : start + 512], "<u4").tobytes()
+            expected.append((doc_id or -1, piece, start, len(part) // 4, zlib.crc32(part)))
+    rows = packed.collect()
+    assert sorted(
+        (r.doc_id or -1, r.piece, r.start, r.length, r.ids_crc32) for r in rows
+    ) == sorted(expected)
+    check_packed(rows, [e[3] for e in expected], 512)
+    placed = {r.sequence_id: r.ids for r in sequences(packed).collect()}
+    for r in rows:
+        ids = np.array(placed[r.sequence_id][r.offset : r.offset + r.length], "<u4")
+        assert zlib.crc32(ids.tobytes()) == r.ids_crc32
+
+
+def test_sweeps_meet_across_ranges():
+    # Gaps left by ranges 0 and 1; items left by ranges 1, 2 and 3.
+    assert sweep_matches([0, 1, 3, 9], [2, 2, 0, 1]) == [
+        (1, 0, 1, 0, 1),
+        (2, 0, 2, 1, 1),
+        (2, 2, 1, 0, 0),
+    ]
+    assert sweep_matches([], []) == []
+
+
+@pytest.mark.parametrize("rows_per_task", [1000, 7])
+def test_running_sums(spark, rows_per_task):
+    rows = [(i * 7919 % 101, i % 9) for i in range(100)]
+    given = spark.createDataFrame(rows, "k long, v long")
+    found = running_sums(given, [F.col("k")], {"before": "v"}, rows_per_task=rows_per_task)
+    total, expected = 0, []
+    for k, v in sorted(rows):
+        expected.append((k, v, total))
+        total += v
+    assert sorted(map(tuple, found.collect())) == expected
+    assert running_sums(given.where("false"), [F.col("k")], {"before": "v"}).count() == 0
+
+
+# WARC
+
+FAKE = (
+    "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:99>\r\n"
+    "Content-Length: 5\r\n\r\nhello\r\n\r\n"
+)
+
+
+def pages():
+    rows = [(1, "http://a", "x" * 1500), (2, "http://b", "x" * 1500), (7, "u", "x" * 1500)]
+    rows += [(3, None, None), (8, "u", ""), (9, "u", "short"), (10, "u", "short")]
+    rows += [(4, "u\r\nWARC-Type: evil", FAKE * 3), (5, "u", warc.MAGIC * 50)]
+    rows += [(6, "u", "é" * 700 + FAKE + "y" * 3000), (11, "u", FAKE + warc.MAGIC), (None, "u", "no id")]
+    rows += [(20 + i, "u", f"z{i} " * 500 + (FAKE if i % 3 == 0 else "")) for i in range(20)]
+    return rows
+
+
+def brute_archive(rows):
+    owner = {}
+    for page_id, _, html in rows:
+        payload = (html or "").encode()
+        if len(payload) >= 1000:
+            owner[payload] = max(owner.get(payload, page_id), page_id)
+    found = []
+    for page_id, _, html in rows:
+        payload = (html or "").encode()
+        first = owner.get(payload, page_id)
+        kind = "response" if first == page_id else "revisit"
+        digest = hashlib.sha1(payload).hexdigest()
+        found.append((page_id, len(payload), digest, kind, None if first == page_id else first))
+    return sorted(found, key=str)
+
+
+@pytest.mark.parametrize("compression, split", [("gzip", "128m"), ("none", "900"), ("none", "128m")])
+def test_archives_round_trip(spark, folder, compression, split):
+    given = spark.createDataFrame(pages(), "page_id long, url string, html string").selectExpr(
+        "*", "'x' AS key", "'y' AS digest", "1 AS n_bytes"
+    )
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        warc.write_archives(given.coalesce(2), f"{folder}/w", compression=compression)
+        found = warc.read_archives(spark, f"{folder}/w").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    rows = [
+        (r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in found
+    ]
+    assert sorted(rows, key=str) == brute_archive(pages())
+    ends = {(r.file, r.next) for r in found}
+    assert all(r.offset == 0 or (r.file, r.offset) in ends for r in found)
+
+
+def test_an_empty_archive(spark, folder):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    warc.write_archives(none, f"{folder}/w")
+    assert warc.read_archives(spark, f"{folder}/w").count() == 0
+
+
+# Pipeline
+
+
+def test_pipeline_equals_its_stages_by_hand(spark, small):
+    """Each stage's result against a plain calculation from the rows it was given."""
+    from test_grouping_operators import brute_components
+    from test_text_operators import brute_mix, counts
+
+    from stratamart.llm.common import stored, table
+    from stratamart.llm.quality_rules import BASE_LEAST_WORDS, BASE_MOST_REPEATED, RULES
+
+    docs = table(spark, small, "documents").where("doc_id < 120").select("doc_id", "text", "lang", "source", "n_chars")
+    given, columns = stored(docs, "test-docs"), docs.columns
+    results = []
+    for name, stage in corpus_pipeline.STAGES:
+        result = stored(stage(spark, given, small), "test-stage")
+        results.append((given.collect(), result.collect()))
+        assert name == "best-fit packing" or result.columns == columns
+        given = result
+
+    before, after = results[0]
+    labels = table(spark, small, "labels")
+    model = compression_quality.fit_quality(docs, labels)
+    kept = []
+    for r in before:
+        sizes = np.array([compression_quality._sizes(model.compressors(), r.text)])
+        z = float((compression_quality._features(sizes) @ np.array(model.weights))[0])
+        if 1 / (1 + math.exp(-z)) >= 0.3:
+            kept.append(r)
+    assert sorted(map(tuple, after)) == sorted(map(tuple, kept))
+
+    before, after = results[1]
+    kept = []
+    for r in before:
+        c = counts(r.text) | {"n_cut_lines": 0}
+        base = c["n_words"] < BASE_LEAST_WORDS or 100 * c["n_repeat_words"] > BASE_MOST_REPEATED * c["n_words"]
+        broken = [
+            rule
+            for rule in RULES
+            if c["n_words"] >= rule.from_words
+            and (
+                (rule.low is not None and 100 * c[rule.count] < rule.low * c[rule.per])
+                or (rule.high is not None and 100 * c[rule.count] > rule.high * c[rule.per])
+            )
+        ]
+        if not base and not broken:
+            kept.append(r)
+    assert sorted(map(tuple, after)) == sorted(map(tuple, kept))
+
+    before, after = results[2]
+    groups = {i: c for i, _, c in brute_components([(r.doc_id, r.text) for r in before])}
+    assert sorted(r.doc_id for r in after) == sorted(i for i, c in groups.items() if i == c)
+
+    before, after = results[3]
+    mixed = brute_mix([(r.doc_id, r.text, r.source) for r in before])
+    expected = sorted(e[0] for e, (_, copies) in mixed.items() for _ in range(copies))
+    assert sorted(r.doc_id for r in after) == expected
+
+    before, after = results[4]
+    tokenizer = Tokenizer.from_file(vocabulary_path())
+    lengths = []
+    for r in before:
+        n = len(tokenizer.encode(r.text, add_special_tokens=False).ids) + 1
+        lengths += [min(4096, n - at) for at in range(0, n, 4096)]
+    check_packed(after, lengths, packing.CAPACITY)
+
+
+def test_pipeline_takes_nulls_and_repeats(spark, docs, labels, small, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "table", lambda *_: labels)
+    given = docs.selectExpr("doc_id", "text", "'en' AS lang", "source", "length(text) AS n_chars")
+    for frame in (given, given.where("false")):
+        for _, stage in corpus_pipeline.STAGES:
+            stage(spark, frame, small).count()
