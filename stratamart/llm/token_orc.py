@@ -49,7 +49,7 @@ def write_tokens(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         coder = WordCoder(shared.value)
         for batch in batches:
-            found = [coder.encode(text) + end for text in batch.column("text").to_pylist()]
+            found = [ids + end for ids in coder.encode_all(batch.column("text").to_pylist())]
             offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
             values = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))

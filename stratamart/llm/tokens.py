@@ -2,49 +2,120 @@
 
 from __future__ import annotations
 
-from array import array
+import os
+import re
 
+import numpy as np
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
 LONGEST_KEPT = 64  # bytes of a word whose ids are remembered
-MOST_KEPT = 400_000  # words remembered by a task
+MOST_KEPT = 500_000  # words in each of the two generations that a task remembers
+JOINED = 1000  # new words that are encoded in one call
+WORD_END = "</w>"
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe
+# Marks between an ASCII letter or digit and the end of a word.
+TAIL = re.compile(rb"(?<=[a-z0-9])([%s]+)(?=[ \t-\r]|$)" % re.escape(MARKS))
+# How the names of special tokens begin, and the first bytes of combining marks.
+LEFT_WHOLE = (b"<|", b"\xcc", b"\xcd")
 
 
 class WordCoder(dict):
     """Ids of words as little-endian unsigned 32-bit integers, by the word's bytes.
 
     The vocabulary's rules end a token at white space, so a text's ids are those
-    of its words in turn. They also part an ASCII full stop or comma from a
-    letter or digit before it, and ignore an ASCII capital, which lets most new
-    words be put together from known ones. Ids always come from the library.
+    of its words in turn. They also part marks at a word's end from the letter or
+    digit before them, and ignore ASCII capitals, so both are settled before words
+    are looked up. A text with combining marks, which join a capital and a small
+    letter differently, or with what may be a special token is left to the library
+    as a whole. New words of letters only are encoded many at a time; a token that
+    ends a word says so. Ids always come from the library.
     """
 
     def __init__(self, vocabulary: str) -> None:
         super().__init__()
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        words = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(words.values()) + 1, bool)
+        self.ends[[i for word, i in words.items() if word.endswith(WORD_END)]] = True
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        if 0x41 <= word[0] <= 0x5A:
-            ids = self[bytes((word[0] + 32,)) + word[1:]]
-        elif len(word) > 1 and word[-1] in b".," and self._ends_word(word[:-1]):
-            ids = self[word[:-1]] + self[word[-1:]]
-        else:
-            found = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-            ids = array("I", found).tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            stem, mark = self._parts(word)
+            if mark:
+                ids = self[stem] + self[mark]
+            else:
+                ids = self._ids(word.decode()).tobytes()
+        self._keep(word, ids)
+        return ids
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
         if len(word) <= LONGEST_KEPT:
             if len(self) >= MOST_KEPT:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
-        return ids
+
+    def _ids(self, text: str) -> np.ndarray:
+        found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.array(found, "<u4")
 
     @staticmethod
-    def _ends_word(word: bytes) -> bool:
-        return bytes(word[-1:]).isalnum()
+    def _parts(word: bytes) -> tuple[bytes, bytes]:
+        """A word without its marks at the end, and these."""
+        stem = word.rstrip(MARKS)
+        if stem and stem != word:
+            last = stem[-4:].decode(errors="ignore")[-1:].lower()
+            if len(last) == 1 and last.isalnum():
+                return stem, word[len(stem) :]
+        return word, b""
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Remember the ids of new words."""
+        known, older = self.keys(), self.older.keys()
+        letters, others = [], []
+        for stem in {self._parts(w)[0] for w in (words - known) - older}:
+            if stem in self or stem in self.older or len(stem) > LONGEST_KEPT:
+                continue
+            text = stem.decode()
+            plain = text.isalpha() and text.lower().isalpha()
+            (letters if plain else others).append((stem, text))
+        for start in range(0, len(letters), JOINED):
+            some = letters[start : start + JOINED]
+            ids = self._ids(" ".join(text for _, text in some))
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(some):
+                others += some  # a letter that is normalised to something else
+                continue
+            raw, at = ids.tobytes(), 0
+            for (stem, _), end in zip(some, (4 * ends).tolist()):
+                self._keep(stem, raw[at:end])
+                at = end
+        found = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
+        for (stem, _), coded in zip(others, found):
+            self._keep(stem, np.array(coded.ids, "<u4").tobytes())
 
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; none for a null or empty one."""
-        return b"".join(map(self.__getitem__, (text or "").encode().split()))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each whole text."""
+        words = []
+        for text in texts:
+            raw = (text or "").encode()
+            if any(x in raw for x in LEFT_WHOLE):
+                words.append(None)
+            else:
+                words.append(TAIL.sub(rb" \1", raw.lower()).split())
+        self._learn(set().union(*filter(None, words)))
+        return [
+            self._ids(text).tobytes() if some is None else b"".join(map(self.__getitem__, some))
+            for text, some in zip(texts, words)
+        ]
 
 
 def vocabulary(path: str) -> str:
