@@ -5,8 +5,9 @@ document's prefix be its first n - ceil(t * n) + l shingles. Two documents
 with a similarity of t or more share at least the smaller of their two l's in
 their prefixes: of the document whose prefix ends first, at most
 ceil(t * n) - l shingles are outside it. Each document picks the l for which
-the estimated cost of its candidates is least. Documents that share enough
-are compared in full.
+the estimated cost of its candidates is least: a larger l lengthens the prefix
+a little and rids it of documents that only have a passage in common.
+Documents that share enough are compared in full.
 
 The order comes from a count sketch of fixed size over all documents; any
 order gives the right result. Documents with equal sets are one node. In the
@@ -21,13 +22,14 @@ components is missed, and no pairs of documents are written but links.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import map_task, stored
@@ -37,9 +39,11 @@ from .shingles import Shingler, common_counts, similar
 PERCENT = 80
 SKETCH_BITS = 20
 SLICE = 1 << 14  # counters whose counts travel in one row
-MOST_MATCHES = 4
+MOST_MATCHES = 64
+PASSAGE = 30.0  # mean number of shingles that documents with a common passage share
+FREQUENT = 10_000  # documents from which on a shingle's rows are not brought together
 BLOCK = 128  # documents that are compared with as many in one group of rows
-VERIFY_COST = 20.0  # of one full comparison, in units of one shared shingle looked up
+VERIFY_COST = 300.0  # of one full comparison, in units of one shingle of a prefix
 
 
 @dataclass(frozen=True)
@@ -75,12 +79,12 @@ def shingle_order(docs: DataFrame) -> ShingleOrder:
         for number in range(len(counts) // SLICE):
             piece = counts[number * SLICE : (number + 1) * SLICE]
             if piece.any():
-                yield {"slice": [number], "counts": [piece.astype("<u4").tobytes()]}
+                yield {"slice": [number], "counts": [zlib.compress(piece.astype("<u4").tobytes(), 1)]}
 
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SLICE, np.int64)
         for counts in rows["counts"]:
-            total += np.frombuffer(counts, "<u4")
+            total += np.frombuffer(zlib.decompress(counts), "<u4")
         return pd.DataFrame({"slice": [rows["slice"].iloc[0]], "counts": [total.tobytes()]})
 
     counts = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -97,19 +101,20 @@ def shingle_order(docs: DataFrame) -> ShingleOrder:
     return ShingleOrder(np.minimum(255, np.round(8 * np.log2(1 + above))).astype(np.uint8))
 
 
-def choose_matches(frequencies: np.ndarray, base: int, needed: int) -> int:
+def choose_matches(frequencies: np.ndarray, n: int, base: int, needed: int) -> int:
     """How many matches to ask for, by the estimated cost of the candidates.
 
-    ``frequencies`` of a set in the global order, ``base`` the length of the
-    prefix for one match, ``needed`` the least intersection. Looking up a
-    prefix costs the sum of its frequencies; as a candidate uses up as many of
-    these as matches are asked for, at most a part of them is compared.
+    ``frequencies`` of a set of ``n`` in the global order, ``base`` the length
+    of the prefix for one match, ``needed`` the least intersection. Each
+    shingle of the prefix costs its lookup. Documents that come up are one and
+    those the frequencies tell of; they share a passage of exponential length,
+    and are compared if enough of it is in the prefix.
     """
-    most = min(MOST_MATCHES, needed)
-    sums = np.cumsum(frequencies[: base + most - 1])
-    asked = np.arange(1, most + 1)
-    looked_up = sums[base - 1 : base + most - 1]
-    return int(np.argmin(looked_up * (1 + VERIFY_COST / asked))) + 1
+    asked = np.arange(1, min(MOST_MATCHES, needed) + 1)
+    length = base + asked - 1
+    met = 1 + np.cumsum(frequencies)[np.minimum(length, len(frequencies)) - 1]
+    compared = met * np.exp(-asked * n / (length * PASSAGE))
+    return int(np.argmin(length + VERIFY_COST * compared)) + 1
 
 
 def prefixes(docs: DataFrame, order: ShingleOrder, percent: int = PERCENT) -> DataFrame:
@@ -133,7 +138,7 @@ def prefixes(docs: DataFrame, order: ShingleOrder, percent: int = PERCENT) -> Da
                 if longest < n:
                     keys = np.partition(keys, longest - 1)[:longest]
                 keys.sort()
-                matches = choose_matches(order.frequencies(keys), base, needed)
+                matches = choose_matches(order.frequencies(keys), n, base, needed)
                 key = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
                 rows.append((n, key, matches, keys[: base + matches - 1].view(np.int64)))
             sizes, set_keys, matches, found = zip(*rows)
@@ -162,7 +167,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows link when their sets of five-word shingles have a Jaccard similarity
     of ``percent`` or more. component_id is the smallest doc_id that links
-    reach. A null text counts as an empty one; a text without words links with
+    reach; rows that share an id are one document. A null text counts as an empty one; a text without words links with
     nothing, and a row whose doc_id is null neither links nor has a component.
     Empty tables give an empty result. Other columns are not read.
     """
@@ -172,20 +177,29 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         "jaccard-prefixes",
     )
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
-    # Rows of equal sets are one node, named by one of its rows.
-    nodes = stored(
-        found.where(linkable)
-        .groupBy("set_key")
-        .agg(F.min("row_no").alias("node"), F.min("doc_id").alias("first_id")),
-        "jaccard-nodes",
-    )
-    shared = stored(_shared_shingles(found, nodes), "jaccard-shared")
-    texts = _texts(docs, found, shared)
+    # Rows of equal sets are one node, numbered by a hash that must not collide.
+    for seed in range(8):
+        numbered = found.where(linkable).withColumn("node", F.xxhash64("set_key", F.lit(seed)))
+        nodes = stored(
+            numbered.groupBy("set_key", "node").agg(F.min("doc_id").alias("first_id")),
+            "jaccard-nodes",
+        )
+        collided = nodes.groupBy("node").count().where("count > 1")
+        if not collided.take(1):
+            break
+    shared = stored(_shared_shingles(numbered), "jaccard-shared")
+    texts = _texts(docs, numbered, shared)
     star = stored(_with_pivot(shared, percent), "jaccard-star")
     edges = [stored(_verified(star, texts, percent), "jaccard-star-edges")]
     merged = components(edges[0])
     edges.append(stored(_across(shared, merged, star, texts, percent), "jaccard-across-edges"))
-    linked = components(edges[0].unionByName(edges[1]))
+    # Rows that share an id are one document.
+    ids = numbered.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("high"))
+    several = ids.where("a < high").select("doc_id", "a")
+    edges.append(
+        numbered.join(several, "doc_id").select("a", F.col("node").alias("b")).where("a <> b").distinct()
+    )
+    linked = components(edges[0].unionByName(edges[1]).unionByName(edges[2]))
     named = nodes.join(linked, "node", "left").select(
         "set_key", "first_id", F.coalesce("component", "node").alias("component")
     )
@@ -203,28 +217,52 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
-def _shared_shingles(found: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(shingle, node, n, matches) of the shingles in the prefixes of two nodes or more."""
-    own = found.join(nodes.select(F.col("node").alias("row_no")), "row_no", "left_semi")
-    all_of_them = own.select(
+def _shared_shingles(numbered: DataFrame) -> DataFrame:
+    """(shingle, node, n, matches, c, least) of the shingles in the prefixes of two nodes or more.
+
+    ``c`` counts the rows of the shingle, ``least`` is the smallest of their matches.
+    """
+    rows = numbered.select(
         F.explode("prefix").alias("shingle"),
-        F.col("row_no").alias("node"),
+        "node",
         F.col("n_shingles").alias("n"),
         "matches",
     )
+    step = F.shiftrightunsigned("shingle", 56)
+    frequent = step >= round(8 * np.log2(1 + FREQUENT))
+    together = Window.partitionBy("shingle")
+    # By the sketch, a shingle of these has a bounded number of rows.
+    few = (
+        rows.where(~frequent)
+        .select(
+            "*",
+            F.min("node").over(together).alias("low"),
+            F.max("node").over(together).alias("high"),
+            F.count("*").over(together).alias("c"),
+            F.min("matches").over(together).alias("least"),
+        )
+        .where("low < high")
+        .drop("low", "high")
+    )
     # Counted inside the map tasks first, so a frequent shingle is one row per task.
-    frequent = all_of_them.groupBy("shingle").agg(F.count("*").alias("c")).where("c > 1")
-    return all_of_them.join(frequent.select("shingle", "c"), "shingle")
-
-
-def _texts(docs: DataFrame, found: DataFrame, shared: DataFrame) -> DataFrame:
-    """(node, text) of the nodes that share a shingle with another."""
-    wanted = (
-        found.select("row_no", "doc_id", "set_key")
-        .join(shared.select(F.col("node").alias("row_no")).distinct(), "row_no", "left_semi")
-        .select(F.col("row_no").alias("node"), "doc_id", "set_key")
+    many = rows.where(frequent)
+    counted = many.groupBy("shingle").agg(F.count("*").alias("c"), F.min("matches").alias("least"))
+    return few.unionByName(many.join(counted, "shingle")).dropDuplicates(["shingle", "node"])
+
+
+def _texts(docs: DataFrame, numbered: DataFrame, shared: DataFrame) -> DataFrame:
+    """(node, text) of the nodes that share as many shingles as a partner of theirs asks for."""
+    some = shared.groupBy("node").agg(F.count("*").alias("own"), F.min("least").alias("least"))
+    wanted = stored(
+        numbered.join(some.where("own >= least"), "node")
+        .groupBy("node", "set_key")
+        .agg(F.min("doc_id").alias("doc_id")),
+        "jaccard-wanted",
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id")
+    repeated = numbered.groupBy("doc_id").count().where("count > 1")
+    if not repeated.take(1):
+        return stored(rows.select("node", "text"), "jaccard-texts")
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         """A repeated doc_id brings texts of other nodes along; they are left out."""
@@ -235,7 +273,7 @@ def _texts(docs: DataFrame, found: DataFrame, shared: DataFrame) -> DataFrame:
                 hashlib.blake2b(shingler.shingles(t).tobytes(), digest_size=16).digest() == key
                 for key, t in zip(keys, texts)
             ]
-            some = batch.filter(pa.array(kept))
+            some = batch.filter(pa.array(kept, pa.bool_()))
             yield {"node": some.column("node"), "text": some.column("text")}
 
     found_texts = map_task(rows.select("node", "set_key", "text"), own, "node long, text string")
@@ -265,7 +303,8 @@ def _with_pivot(shared: DataFrame, percent: int) -> DataFrame:
         .where(_sizes_permit("n_a", "n_b", percent))
         .groupBy("a", "b")
         .agg(F.count("*").alias("common"), F.max("needed").alias("needed"))
-        .where("common >= needed")
+        # A pair may share other shingles under other pivots; the second round sees to those.
+        .where("2 * common >= needed")
         .select("a", "b", "common")
     )
 
@@ -316,10 +355,11 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
     and gives only links.
     """
     rows = stored(_blocks(shared, merged, star), "jaccard-mixed")
-    groups = rows.groupBy("shingle", "block").agg(F.first("whole").alias("whole"))
     bounds = rows.groupBy("block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("matches").alias("needed")
     )
+    # The bounds stand with each block, so that pairs are dropped where they would arise.
+    groups = rows.groupBy("shingle", "block").agg(F.first("whole").alias("whole")).join(bounds, "block")
 
     def side(df: DataFrame, end: str) -> DataFrame:
         return df.select("*").toDF(*[c if c == "shingle" else f"{c}_{end}" for c in df.columns])
@@ -329,13 +369,11 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
         side(groups, "l")
         .join(side(groups, "r"), "shingle")
         .where((F.col("block_l") <= F.col("block_r")) & apart)
-        .groupBy("block_l", "block_r")
-        .agg(F.count("*").alias("common"))
-        .join(side(bounds, "l"), "block_l")
-        .join(side(bounds, "r"), "block_r")
-        .where(F.col("common") >= F.least("needed_l", "needed_r"))
         .where(100 * F.col("most_l") >= percent * F.col("least_r"))
         .where(100 * F.col("most_r") >= percent * F.col("least_l"))
+        .groupBy("block_l", "block_r")
+        .agg(F.count("*").alias("common"), F.first(F.least("needed_l", "needed_r")).alias("needed"))
+        .where("common >= needed")
         .select("block_l", "block_r")
     )
     met = stored(met.withColumn("pair", F.monotonically_increasing_id()), "jaccard-block-pairs")
