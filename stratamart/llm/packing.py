@@ -11,14 +11,13 @@ Items are placed in bands of falling size, so that small ones are left to fill
 up. Once items are small and outnumber the gaps, a round lays gaps and items
 end to end, largest first, and an item takes the gap it falls into, unless it
 straddles a border. When no item fits, as many sequences are opened as the
-rest needs at least. What is left of a band once it fits one range is finished
-by the task of that range, item by item, without further rounds.
+rest needs at least. Rounds are the same at every size: a table that fits one
+range is swept in one part, and is packed as it would be in many.
 """
 
 from __future__ import annotations
 
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,7 +158,7 @@ class _Packer:
     def place(self, short: DataFrame) -> DataFrame:
         """(piece_no, length, bin) of all rows of (piece_no, length)."""
         whole = self._items(short)
-        gaps = self.open(self._least(whole)) if whole.n > self.rows_per_task else self.open(0)
+        gaps = self.open(self._least(whole))
         high = self.capacity
         for share in BANDS:
             low = int(share * self.capacity)
@@ -188,78 +187,32 @@ class _Packer:
         """Place all items; the gaps that are left."""
         resting: list[DataFrame] = []
         progress, laid_badly = True, False
-        while (now := self._items(items)).n:
+        now = self._items(items)
+        while now.n:
             resting.append(gaps.where(F.col("gap") < now.smallest))
             gaps = gaps.where(F.col("gap") >= now.smallest)
             n_gaps = gaps.count()
-            if now.n + n_gaps <= self.rows_per_task:
-                gaps = self._finish(items, gaps)
-                break
             if not n_gaps or not progress:
                 more = self._least(now)
                 gaps, n_gaps = gaps.unionByName(self.open(more)), n_gaps + more
             small = now.largest <= SMALL * self.capacity
-            if small and now.n > n_gaps and not laid_badly:
-                left, gaps = self._lay(items, gaps, now.n, n_gaps)
-                n_left = left.count()
-                laid_badly = now.n - n_left < now.n / 2
+            lay = small and now.n > n_gaps and not laid_badly
+            if lay:
+                items, gaps = self._lay(items, gaps, now.n, n_gaps)
             else:
-                left, gaps = self._sweep(items, gaps, now.n + n_gaps)
-                n_left = left.count()
-                laid_badly = False
-            progress = n_left < now.n
-            items = left
+                items, gaps = self._sweep(items, gaps, now.n + n_gaps)
+            left = self._items(items)
+            laid_badly = lay and now.n - left.n < now.n / 2
+            progress = left.n < now.n
+            now = left
         for rest in resting:
             gaps = gaps.unionByName(rest)
-        return gaps
+        # Stored once a band, or every later round would read all rounds so far.
+        return stored(gaps, "pack-resting") if resting else gaps
 
     def _keep(self, matched: DataFrame) -> None:
         self.placed.append(matched.select("piece_no", "length", "bin"))
 
-    def _finish(self, items: DataFrame, gaps: DataFrame) -> DataFrame:
-        """Place items that fit one range, the largest first, each into its best gap; the gaps left."""
-        capacity, opened = self.capacity, self.opened
-        both = items.select("piece_no", "length", F.lit(None).cast("long").alias("bin")).unionByName(
-            gaps.select(
-                F.lit(None).cast("long").alias("piece_no"), F.col("gap").alias("length"), "bin"
-            )
-        )
-
-        def place(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-            pieces, free = [], []
-            for batch in batches:
-                for piece, size, number in zip(*(c.to_pylist() for c in batch.columns)):
-                    if piece is None:
-                        free.append((size, number))
-                    else:
-                        pieces.append((-size, piece))
-            pieces.sort()
-            free.sort()
-            fresh, rows = opened, []
-            for size, piece in pieces:
-                at = bisect_left(free, (-size, -1))
-                if at < len(free):
-                    gap, number = free.pop(at)
-                else:
-                    gap, number = capacity, fresh
-                    fresh += 1
-                rows.append((piece, -size, number, None))
-                if gap + size:
-                    insort(free, (gap + size, number))
-            rows += [(None, None, number, gap) for gap, number in free]
-            for start in range(0, len(rows), 10_000):
-                names = ("piece_no", "length", "bin", "gap")
-                yield dict(zip(names, zip(*rows[start : start + 10_000])))
-
-        # One range's worth of rows at most.
-        done = stored(
-            map_task(both.repartition(1), place, "piece_no long, length long, bin long, gap long"),
-            "pack-finish",
-        )
-        self._keep(done.where("piece_no is not null"))
-        self.opened = max(opened, (done.agg(F.max("bin")).first()[0] or 0) + 1)
-        return done.where("piece_no is null").select("bin", "gap")
-
     def _sweep(self, items: DataFrame, gaps: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
         """One item for each gap at most; the items and gaps that are left."""
         both = items.select(

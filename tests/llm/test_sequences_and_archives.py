@@ -65,6 +65,17 @@ def test_packing_is_close_to_best_fit_decreasing(spark, kind, rows_per_task):
     assert used <= math.ceil(least * 1.05) + 1
 
 
+@pytest.mark.parametrize("largest", [256, 25])
+def test_packing_does_not_depend_on_the_number_of_ranges(spark, largest):
+    lengths = np.random.default_rng(6).integers(1, largest, 400).tolist()
+    given = spark.createDataFrame(list(enumerate(lengths)), "id long, length long").coalesce(1)
+    placed = [
+        {r.id: (r.sequence_id, r.offset) for r in pack(given, 256, rows_per_task).collect()}
+        for rows_per_task in (100_000, 60)
+    ]
+    assert placed[0] == placed[1]
+
+
 def test_no_rows_no_sequences(spark, no_docs):
     assert pack(document_pieces(no_docs, vocabulary_path())).count() == 0
 
