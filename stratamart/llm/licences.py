@@ -5,8 +5,9 @@ and an unknown class apart. It is trained on variants of template sentences
 and, for the unknown class, on paragraphs of the corpus, scraps of templates
 and templates with their words in another order. The margin between the best
 family and unknown is calibrated on variants kept out of the training. A
-prediction counts if the paragraph holds a licence word and a template
-sentence of the family is contained in it.
+prediction counts if the text holds a licence word and a template sentence of
+the family is contained in it. Licence texts are wrapped, so what is judged are
+the lines of a paragraph and its runs of consecutive lines joined together.
 
 Only DataFrame functions and Spark's own learner run: no code of ours runs in tasks.
 """
@@ -89,6 +90,25 @@ TEMPLATES = {
         "Released under the Unlicense",
     ),
 }
+# Short identifiers of the same licences. They differ in their last words only, so one counts when all of it is there.
+IDENTIFIERS = {
+    "Apache-2.0": "Apache-2.0",
+    "MIT": "MIT",
+    "GPL": "GPL",
+    "LGPL": "LGPL",
+    "AGPL": "AGPL",
+    "BSD": "BSD",
+    "MPL-2.0": "MPL-2.0",
+    "ISC": "ISC",
+    "CC-BY": "CC-BY-4.0",
+    "CC-BY-SA": "CC-BY-SA-4.0",
+    "CC-BY-NC": "CC-BY-NC-4.0",
+    "CC0": "CC0-1.0",
+    "Unlicense": "Unlicense",
+}
+TEMPLATES = {
+    family: (*all_of, f"SPDX-License-Identifier: {IDENTIFIERS[family]}") for family, all_of in TEMPLATES.items()
+}
 # Words of which a licence paragraph must hold one, as every template does.
 ANCHORS = (
     "license licensed licenses licence licensing permission copyright redistribution permitted"
@@ -96,6 +116,19 @@ ANCHORS = (
 ).split()
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)*"
 CONTAINED = 60
+# A line without a letter or digit, comment marks or not, ends a paragraph.
+BLANK = r"\n[^\p{L}\p{N}\n]*(?=\n)"
+COMMENT_WORD = r"(?i)^\s*(?:dnl|rem)\b"  # other comment marks hold no word
+# What stands before and after a template in an example.
+FRAMES = (
+    ("this text is", "see below"),
+    ("copyright c 2020 the authors", "all rights reserved"),
+    ("this file is part of the program", "for details"),
+    ("copyright 2019 2021 by the contributors", "without any warranty"),
+)
+JOINED_LINES = 6  # over which a template sentence may be wrapped
+# Words between the first and the last of joined lines; no template has half as many.
+INNER_WORDS = 40
 
 
 def tokens(text: str) -> list[str]:
@@ -129,19 +162,45 @@ def _features(words: str) -> Column:
 
 
 def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_no, paragraph, words) of the lines that hold an anchor word."""
+    """(doc_id, row_no, paragraph, first, last, words) of lines, and runs of lines, that hold an anchor word.
+
+    Runs are of up to ``JOINED_LINES`` lines of one paragraph; ``first`` and ``last`` count its lines from 1.
+    """
     anchor = rf"(?i)\b(?:{'|'.join(ANCHORS)})\b"
     numbered = F.transform(
-        F.split(F.coalesce("text", F.lit("")), "\n"),
-        lambda line, i: F.struct(i.alias("paragraph"), line.alias("line")),
+        F.split(F.coalesce("text", F.lit("")), BLANK),
+        lambda text, i: F.struct(i.alias("paragraph"), text.alias("text")),
     )
-    found = F.filter(numbered, lambda x: x["line"].rlike(anchor))
+    found = F.filter(numbered, lambda x: x["text"].rlike(anchor))
+    words_of = lambda line: _words(F.regexp_replace(line, COMMENT_WORD, ""))
+    lines = F.filter(F.transform(F.split("x.text", "\n"), words_of), lambda words: F.size(words) > 0)
+    anchors = F.array(*map(F.lit, ANCHORS))
+
+    def joined(first: Column, last: Column) -> Column:
+        return F.flatten(F.slice("lines", first, F.greatest(last - first + 1, F.lit(0))))
+
+    def from_line(first: Column) -> Column:
+        ends = F.sequence(first, F.least(first + JOINED_LINES - 1, F.size("lines")))
+        runs = F.transform(
+            ends,
+            lambda last: F.struct(first.alias("first"), last.alias("last"), joined(first, last).alias("words")),
+        )
+        return F.filter(
+            runs,
+            lambda x: (F.size(joined(x["first"] + 1, x["last"] - 1)) <= INNER_WORDS)
+            & F.arrays_overlap(x["words"], anchors),
+        )
+
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("lines")), from_line))
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("found"))
         .where(F.size("found") > 0)
         .withColumn("row_no", F.monotonically_increasing_id())
         .select("doc_id", "row_no", F.explode("found").alias("x"))
-        .select("doc_id", "row_no", "x.paragraph", _words(F.col("x.line")).alias("words"))
+        .select("doc_id", "row_no", "x.paragraph", lines.alias("lines"))
+        .where(F.size("lines") > 0)
+        .select("doc_id", "row_no", "paragraph", F.explode(runs).alias("x"))
+        .select("doc_id", "row_no", "paragraph", "x.first", "x.last", "x.words")
     )
 
 
@@ -158,14 +217,18 @@ def _examples(docs: DataFrame, sample_documents: int) -> DataFrame:
         return left_out.select("label", F.filter("words", keep).alias("words"))
 
     whole = given.select("label", "words")
-    framed = whole.select(
-        "label",
-        F.concat(F.array(F.lit("this"), F.lit("text"), F.lit("is")), "words", F.array(F.lit("see"), F.lit("below"))).alias("words"),
-    )
-    families = reduce(DataFrame.unionByName, [whole, framed, without(1000), without(7)])
-    windows = given.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("at"))
+    framed = [
+        whole.select("label", F.concat(F.split(F.lit(before), " "), "words", F.split(F.lit(after), " ")).alias("words"))
+        for before, after in FRAMES
+    ]
+    # An identifier without its last word is that of no licence.
+    fewer = [without(step).where("not array_contains(words, 'spdx') and not array_contains(words, 'identifier')") for step in (1000, 7)]
+    families = reduce(DataFrame.unionByName, [whole, *framed, *fewer])
+    # Identifiers count whole or not at all, so they need no scraps.
+    sentences = given.where("words[0] <> 'spdx'")
+    windows = sentences.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("at"))
     scraps = windows.select(F.slice("words", F.col("at") + 1, F.greatest(F.lit(1), F.floor(n / 4).cast("int"))).alias("words"))
-    mixed = given.select(
+    mixed = sentences.select(
         F.transform(
             F.array_sort(F.transform("words", lambda w: F.struct(F.md5(w.cast("binary")).alias("h"), w.alias("w")))),
             lambda x: x["w"],
@@ -206,6 +269,8 @@ def fit_licences(
         .select(number.cast("double").alias("label"), _features("words").alias("features_of"))
         .distinct()
         .withColumn("apart", F.pmod(F.xxhash64("features_of"), F.lit(5)) == 0)
+        # Identifiers have few examples, all of them to learn from.
+        .withColumn("apart", F.col("apart") & ~F.array_contains("features_of", "spdx"))
         .orderBy("label", "features_of")
         .coalesce(1),
         "licence-examples",
@@ -261,51 +326,74 @@ def _margins(examples: DataFrame, model: LicenceModel, keys: list[str]) -> DataF
 
 
 def _template_pairs(spark: SparkSession) -> DataFrame:
-    """(pair, family, number, n): the distinct word pairs of each template sentence."""
+    """(pair, family, number, n, least): the distinct word pairs of each template sentence.
+
+    ``least`` is the percentage of them that a text must hold.
+    """
     rows = []
     for family, number, words in templates():
         pairs = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
-        rows += [(pair, family, number, len(pairs)) for pair in pairs]
-    return spark.createDataFrame(rows, "pair string, family string, number int, n int")
+        least = 100 if words[0] == "spdx" else CONTAINED
+        rows += [(pair, family, number, len(pairs), least) for pair in pairs]
+    return spark.createDataFrame(rows, "pair string, family string, number int, n int, least int")
+
+
+def _contained(texts: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, family, contained) of rows of ``keys`` and ``words`` that hold a template sentence of the family."""
+    pairs = texts.select(*keys, F.explode(F.array_distinct(_pairs("words"))).alias("pair"))
+    return (
+        pairs.join(F.broadcast(_template_pairs(texts.sparkSession)), "pair")  # a fixed number of rows
+        .groupBy(*keys, "family", "number", "n", "least")
+        .agg(F.floor(100 * F.count("*") / F.col("n")).alias("contained"))
+        .where(F.col("contained") >= F.col("least"))
+        .groupBy(*keys, "family")
+        .agg(F.max("contained").alias("contained"))
+    )
 
 
 def licence_paragraphs(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, row_no, paragraph, family, score, contained) of the licence paragraphs.
+    """(doc_id, row_no, paragraph, first, last, family, score, contained) of the lines that hold a licence.
 
-    ``score`` is the calibrated probability that the paragraph names a licence
+    ``score`` is the calibrated probability that the lines name a licence
     at all, ``contained`` the percentage of a template sentence of the
-    predicted family that it holds. Paragraphs below ``threshold`` or below
-    60 percent are unknown and left out.
+    predicted family that they hold. Lines below ``threshold`` or below
+    60 percent are unknown and left out, as are lines joined to others that
+    add nothing, and lines of which a longer run holds more of a template.
     """
-    spark = docs.sparkSession
     model = fit_licences(docs)
     found = stored(paragraphs(docs), "licence-paragraphs")
-    keys = ["doc_id", "row_no", "paragraph"]
-    judged = _margins(found.select(*keys, _features("words").alias("ngrams")), model, keys)
+    paragraph = ["doc_id", "row_no", "paragraph"]
+    keys = ["row_no", "paragraph", "first", "last"]
+    judged = _margins(found.select("doc_id", *keys, _features("words").alias("ngrams")), model, ["doc_id", *keys])
     score = 1 / (1 + F.exp(-(F.col("margin") * model.slope + model.shift)))
     predicted = judged.withColumn("score", score).where(F.col("score") >= threshold)
-    pairs = found.select(
-        "row_no", "paragraph", F.explode(F.array_distinct(_pairs("words"))).alias("pair")
-    )
-    contained = (
-        pairs.join(F.broadcast(_template_pairs(spark)), "pair")  # a fixed number of rows
-        .groupBy("row_no", "paragraph", "family", "number", "n")
-        .agg(F.count("*").alias("common"))
-        .groupBy("row_no", "paragraph", "family")
-        .agg(F.max(F.floor(100 * F.col("common") / F.col("n"))).alias("contained"))
-        .where(F.col("contained") >= CONTAINED)
+    hits = predicted.join(_contained(found, keys), [*keys, "family"])
+
+    def inside(x: Column, y: Column) -> Column:
+        """Lines x are some of the lines y, but not all."""
+        wider = y["last"] - y["first"] > x["last"] - x["first"]
+        return (y["first"] <= x["first"]) & (x["last"] <= y["last"]) & wider
+
+    adds = lambda x: ~F.exists(
+        "hits", lambda y: inside(y, x) & (y["family"] == x["family"]) & (y["contained"] >= x["contained"])
     )
-    return predicted.join(contained, ["row_no", "paragraph", "family"]).select(
-        *keys, "family", "score", "contained"
+    best = lambda x: ~F.exists("hits", lambda y: inside(x, y) & (y["contained"] > x["contained"]))
+    return (
+        hits.groupBy(*paragraph)
+        .agg(F.collect_list(F.struct("first", "last", "family", "score", "contained")).alias("hits"))
+        .select(*paragraph, F.filter("hits", adds).alias("hits"))
+        .select(*paragraph, F.explode(F.filter("hits", best)).alias("x"))
+        .select(*paragraph, "x.*")
     )
 
 
 def licence_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_licences, families, score) per distinct doc_id of ``docs``.
 
+    ``n_licences`` counts the lines, or runs of lines over which a licence is wrapped.
     ``families`` lists the families found in any row of that id, sorted and
-    joined by a comma, null if there is none; ``score`` is the highest of their
-    paragraphs, 0 if there is none. A null text has no paragraph; null ids are
+    joined by a comma, null if there is none; ``score`` is the highest of
+    these, 0 if there is none. A null text has no paragraph; null ids are
     one document. An empty table gives an empty result. Other columns are not read.
     """
     found = (

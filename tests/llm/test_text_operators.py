@@ -141,6 +141,38 @@ def test_every_template_is_found(spark, docs, no_docs):
     assert licences.licence_scan(no_docs).count() == 0
 
 
+WRAPPED = [
+    ("BSD", """/*
+ * Copyright (c) 2019, A. Author
+ * All rights reserved.
+ *
+ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met:
+ */"""),
+    ("ISC", """# Permission to use, copy, modify, and/or distribute this software for any
+# purpose with or without fee is hereby granted, provided that the above
+# copyright notice and this permission notice appear in all copies."""),
+    ("MIT", """Permission is hereby granted,
+free of charge, to any
+person obtaining a copy of
+this software and associated
+documentation files"""),
+    ("Apache-2.0", "some text before\n// SPDX-License-Identifier: Apache-2.0\nint main"),
+    ("GPL", "/* SPDX-License-Identifier: GPL-2.0-only */"),
+    ("CC-BY-SA", "the words are\nlicensed under CC BY-\nSA 4.0 by all"),
+    (None, "// SPDX-License-Identifier: Zlib"),
+    (None, "Redistribution and use in source and binary forms, with or without\n\nmodification, are permitted"),
+]
+
+
+def test_wrapped_licences_are_found(spark, docs):
+    rows = [(1000 + i, text) for i, (_, text) in enumerate(WRAPPED)]
+    given = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r for r in licences.licence_scan(given).collect()}
+    assert [found[i].families for i, _ in rows] == [family for family, _ in WRAPPED]
+    assert all(found[i].n_licences == (found[i].families is not None) for i, _ in rows)
+
+
 # Token files
 
 
