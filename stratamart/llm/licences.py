@@ -2,7 +2,7 @@
 
 A sparse logistic regression over word n-grams tells the families of licences
 and an unknown class apart. It is trained on variants of template sentences
-and, for the unknown class, on paragraphs of the corpus, scraps of templates
+and, for the unknown class, on lines of the corpus that hold no template, scraps of templates
 and templates with their words in another order. The margin between the best
 family and unknown is calibrated on variants kept out of the training. A
 prediction counts if the text holds a licence word and a template sentence of
@@ -238,13 +238,24 @@ def _examples(docs: DataFrame, sample_documents: int) -> DataFrame:
     lines = some.select(F.explode(F.split("text", "\n")).alias("line")).select(
         _words(F.col("line")).alias("words")
     )
-    plain = lines.where(F.size("words") > 0)
+    plain = lines.where(F.size("words") > 0).join(_licence_lines(some), "words", "left_anti")
     unknown = reduce(DataFrame.unionByName, [scraps, mixed, plain]).select(
         F.lit(UNKNOWN).alias("label"), "words"
     )
     return families.unionByName(unknown)
 
 
+def _licence_lines(docs: DataFrame) -> DataFrame:
+    """(words) of lines with an anchor word that hold a template sentence, alone or joined to the lines around them."""
+    runs = stored(paragraphs(docs), "licence-sample")
+    keys = ["row_no", "paragraph", "first", "last"]
+    held = _contained(runs, keys).select(
+        "row_no", "paragraph", F.col("first").alias("from"), F.col("last").alias("to")
+    )
+    lines = runs.where("first = last").join(held, ["row_no", "paragraph"])
+    return lines.where(F.col("first").between(F.col("from"), F.col("to"))).select("words").distinct()
+
+
 @dataclass(frozen=True)
 class LicenceModel:
     """Weights of n-grams per class, intercepts, and the calibration of the margin."""

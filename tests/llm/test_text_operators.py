@@ -173,6 +173,20 @@ def test_wrapped_licences_are_found(spark, docs):
     assert all(found[i].n_licences == (found[i].families is not None) for i, _ in rows)
 
 
+def test_licence_headers_are_no_counter_examples(spark):
+    """A third of the documents carry a header of their own."""
+    def text(i):
+        header = f"Copyright {1990 + i % 30} Name{i} Surname{i * 7}. Licensed under the MIT License\n"
+        return (header if i % 3 == 0 else "") + f"a story of {i} cats\nand {i * 3} dogs that were at home"
+
+    given = spark.createDataFrame([(i, text(i)) for i in range(240)], "doc_id long, text string")
+    found = licences.licence_scan(given).collect()
+    assert {r.doc_id for r in found if r.families == "MIT"} == set(range(0, 240, 3))
+    assert all(r.families in (None, "MIT") for r in found)
+    unknown = licences._examples(given, 300).where(F.col("label") == licences.UNKNOWN)
+    assert unknown.where("array_contains(words, 'copyright') and array_contains(words, 'mit')").count() == 0
+
+
 # Token files
 
 
