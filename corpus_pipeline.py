@@ -23,8 +23,13 @@ END_ID = 1
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the compression classifier takes for good."""
+    """Documents that the compression classifier takes for good.
+
+    All documents stay if none can be learnt from with label 0, or none with label 1: there is no classifier then.
+    """
     model = fit_quality(docs, table(spark, folder, "labels"))
+    if model.constant is not None:
+        return docs
     score = "quality_score_of_this_stage"
     return with_quality(docs, model, score).where(F.col(score) >= QUALITY_THRESHOLD).drop(score)
 

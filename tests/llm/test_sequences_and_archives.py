@@ -257,3 +257,10 @@ def test_pipeline_takes_nulls_and_repeats(spark, docs, labels, small, monkeypatc
     for frame in (given, given.where("false")):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, frame, small).count()
+
+
+@pytest.mark.parametrize("label", [0, 1, None])
+def test_documents_stay_without_a_classifier(spark, docs, labels, folder, label):
+    labels.withColumn("quality", F.lit(label).cast("int")).write.parquet(f"{folder}/labels.parquet")
+    kept = corpus_pipeline.drop_low_quality(spark, docs, folder)
+    assert kept.count() == docs.count() and kept.columns == docs.columns
