@@ -106,3 +106,40 @@ SELECT s.doc_id, s.size, s.source_size, s.target,
 FROM (SELECT *, unnest(range(n_rows)) AS row_of FROM served) s
 LEFT JOIN taken t ON t.doc_id IS NOT DISTINCT FROM s.doc_id
   AND t.source IS NOT DISTINCT FROM s.source AND t.text = s.text"""
+
+# Terms are cut by the engine's own regular expressions; every document is scored for every item.
+OP11 = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+         coalesce(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS terms
+  FROM documents
+), sizes AS (
+  SELECT count(*) FILTER (WHERE len(terms) > 0)::BIGINT AS docs, sum(len(terms))::BIGINT AS words FROM texts
+), postings AS (
+  SELECT row_no, doc_id, n, term, count(*) AS tf
+  FROM (SELECT row_no, doc_id, len(terms) AS n, unnest(terms) AS term FROM texts)
+  GROUP BY ALL
+), wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, sizes WHERE term IN (SELECT term FROM wanted) GROUP BY term, docs
+), parts AS (
+  SELECT row_no, doc_id, term,
+         w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // words))) AS part
+  FROM postings JOIN weights USING (term), sizes
+), scores AS (
+  SELECT item_id, row_no, doc_id, sum(part)::BIGINT AS score
+  FROM wanted JOIN parts USING (term) GROUP BY ALL HAVING sum(part) > 0
+)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT item_id, doc_id, score,
+         (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST))::INTEGER AS rank
+  FROM scores
+) WHERE rank <= 10
+"""

@@ -10,12 +10,15 @@ from stratamart.operators.storage import scratch_path
 
 from .common import table
 from .compression_quality import quality_scores
+from .conversation_repair import damage, repair_report
 from .jaccard import jaccard_components
+from .lexical import ranked_search
 from .licences import licence_scan
 from .mixing import mix
-from .oracles import OP2, OP8
+from .oracles import OP2, OP8, OP11
 from .packing import document_pieces, pack
 from .quality_rules import quality_rules
+from .secrets_scan import secret_digests, secret_spans
 from .token_orc import read_tokens, token_digests, write_tokens
 from .toxicity import toxicity_scores
 from .vector_links import vector_links
@@ -89,6 +92,19 @@ def op10_compression_quality(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_presence_masks(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations")
+    return repair_report(damage(conversations), conversations.select("conv_id"))
+
+
+def op13_secret_ownership(spark: SparkSession, folder: str) -> DataFrame:
+    return secret_digests(secret_spans(table(spark, folder, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_rules": op2_quality_rules,
@@ -100,9 +116,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fair_queueing": op8_fair_queueing,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_compression_quality": op10_compression_quality,
+    "op11_presence_masks": op11_presence_masks,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_secret_ownership": op13_secret_ownership,
 }
 
 ORACLES: dict[str, str] = {
     "op2_quality_rules": OP2,
     "op8_fair_queueing": OP8,
+    "op11_presence_masks": OP11,
 }
