@@ -7,15 +7,19 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stratamart.operators import folders, line_months
 from stratamart.operators.storage import (
+    NO_MONTH,
     FactLayout,
     drop_scratch,
+    finish_publishing,
     in_months,
     months_of,
     publish_months,
     read_fact,
     rebuild_table,
     scratch_path,
+    settings,
     write_clustered,
 )
 
@@ -80,20 +84,39 @@ def cutoff_value(
     lookback_days: int = LOOKBACK_DAYS,
     when_empty: dt.date | None = None,
     month: str | None = None,
+    path: str | None = None,
 ) -> dt.date | None:
     """The cutoff as a literal, so that filters with it prune files.
 
-    With a ``month`` partition column only the newest month is scanned.
+    With a ``month`` partition column only the newest month that has rows is
+    scanned. Which months there are comes from the listing of the fact's
+    ``path``, or else from the partitions Spark has listed for ``target``.
     """
     if month is not None:
-        newest = target.agg(F.max(month)).first()[0]
-        if newest is not None:
-            target = target.filter(F.col(month) == F.lit(newest))
+        for newest in _newest_first(target, month, path):
+            rows = target.filter(F.col(month) == F.lit(newest))
+            found = cutoff(rows, day, lookback_days=lookback_days).first()[0]
+            if found is not None:
+                return found
+        target = target.limit(0)
     return cutoff(
         target, day, lookback_days=lookback_days, when_empty=when_empty
     ).first()[0]
 
 
+def _newest_first(target: DataFrame, month: str, path: str | None) -> list[dt.date]:
+    """Months that have a folder, without reading any file."""
+    spark = target.sparkSession
+    if path is not None:
+        values = [n.partition("=")[2] for n in folders.names(spark, path) if n.startswith(f"{month}=")]
+        found = [dt.date.fromisoformat(v) for v in values if v != NO_MONTH]
+    else:
+        with settings(spark, {"spark.sql.optimizer.metadataOnly": "true"}):
+            rows = target.select(month).distinct().collect()
+        found = [row[0] for row in rows if row[0] is not None]
+    return sorted(found, reverse=True)
+
+
 def since(df: DataFrame, day: str, start: dt.date | None) -> DataFrame:
     """Rows on or after ``start``; an unknown start matches nothing."""
     return df.filter(F.lit(False) if start is None else F.col(day) >= F.lit(start))
@@ -102,24 +125,23 @@ def since(df: DataFrame, day: str, start: dt.date | None) -> DataFrame:
 def merge_fact(
     spark: SparkSession, path: str, source: DataFrame, layout: FactLayout
 ) -> DataFrame:
-    """Merge rows into a stored fact, rewriting only the months concerned.
+    """Merge rows into a stored fact, reading and rewriting only the months concerned.
 
     These are the months of the new rows and the months in which older copies
-    of their keys live, since a changed date may move a row. Rows with a NULL
-    key replace nothing. New rows and
+    of their keys live, since a changed date may move a row. The latter come
+    from the fact's table of line months, which is written on the first merge
+    if the fact has none. Rows with a NULL key replace nothing. New rows and
     rewritten months are written to the shared folder before the fact is
-    touched; the last step can be repeated from there.
+    touched; a publication that stopped half-way is finished first.
     """
+    finish_publishing(spark, path)
     rows_path = scratch_path(spark, "merge-rows")
     months_path = scratch_path(spark, "merge-months")
     try:
         rows = rebuild_table(layout.with_month(source), rows_path)
         require_unique(rows, [layout.key])
         target = read_fact(spark, path, layout, source.schema)
-        lines = list(layout.line)
-        old_copies = target.join(rows.select(*lines), lines, "left_semi")
-        found = rows.select(layout.month).union(old_copies.select(layout.month))
-        months = months_of(found, layout)
+        months = _months_concerned(spark, path, rows, layout, source)
         if months:
             merged = merge_upsert(
                 target.filter(in_months(layout, months)), rows, [layout.key], check_source=False
@@ -131,6 +153,21 @@ def merge_fact(
     return read_fact(spark, path, layout, source.schema)
 
 
+def _months_concerned(
+    spark: SparkSession, path: str, rows: DataFrame, layout: FactLayout, source: DataFrame
+) -> set[dt.date | None]:
+    """The months to rewrite; the new lines are noted before the fact changes."""
+    folder, buckets = line_months.find_table(spark, path) or line_months.build_table(
+        spark, path, layout, source.schema
+    )
+    columns = rows.select(*line_months.columns_of(layout)).schema
+    with line_months.registered(spark, folder, buckets, layout, columns) as name:
+        old = line_months.rewritten_months(spark.table(name), rows, layout)
+        months = months_of(rows, layout) | months_of(old, layout)
+        line_months.add_lines(spark, name, folder, buckets, rows, layout)
+    return months
+
+
 def _publish(
     spark: SparkSession,
     staged: DataFrame,
@@ -141,7 +178,7 @@ def _publish(
 ) -> None:
     """Publish, and keep the staged rows when that fails: they may be the only copy."""
     try:
-        publish_months(spark, staged, path, layout, months)
+        publish_months(spark, staged, path, layout, months, staged_path)
     except Exception as problem:
         problem.add_note(
             f"{path} may lack months; repeat publish_months with the rows kept in {staged_path} "

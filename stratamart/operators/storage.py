@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+import posixpath
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -14,9 +16,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratamart.operators import folders
+
 # Size at which adaptive execution cuts the rows of one output file.
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 FILE_BYTES = "512m"
+# Fixed value: Spark's folder of rows without a partition value.
+NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
+# What a publication in progress keeps in a fact's folder; readers skip such names.
+PUBLISHING, REPLACED = "_publishing", "_replaced"
 
 
 @dataclass(frozen=True)
@@ -67,27 +75,71 @@ def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a path handed out by ``scratch_path``."""
     if not path.startswith(f"{shared_folder(spark)}/stratamart/"):
         raise ValueError(f"not a scratch path: {path}")
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    folders.remove(spark, path)
 
 
 def load_if_exists(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame | None:
-    """The stored table, or None when nothing has been written there yet."""
+    """The stored table, or None when nothing has been written there yet.
+
+    A table whose replacement was interrupted between two generations is put back first.
+    """
     reader = spark.read if schema is None else spark.read.schema(schema)
     try:
         return reader.parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return reader.parquet(path) if recover_table(spark, path) else None
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
             return None
         raise
 
 
+def _generation(path: str, which: str) -> str:
+    """Where the next or the previous generation of a table lies: beside it, hidden from readers."""
+    folder, name = posixpath.split(path.rstrip("/"))
+    return f"{folder}/.{name}.{which}"
+
+
+def recover_table(spark: SparkSession, path: str) -> bool:
+    """Whether there is a table; finishes a replacement that stopped between its two renames."""
+    following, previous = _generation(path, "next"), _generation(path, "previous")
+    if folders.exists(spark, path):
+        return True
+    if folders.exists(spark, f"{following}/_SUCCESS"):
+        folders.move(spark, following, path)
+    elif folders.exists(spark, previous):
+        folders.move(spark, previous, path)
+    return folders.exists(spark, path)
+
+
+@contextmanager
+def replacing(spark: SparkSession, path: str) -> Iterator[str]:
+    """Where to write the next generation of a table.
+
+    It takes the table's place when the block ends well. If the block fails,
+    the table stays as it is. The switch is two renames: the table becomes the
+    previous generation, the next one becomes the table. If the second fails,
+    or the driver stops in between, ``recover_table`` finishes. A reader that
+    has listed the old files finds them gone and has to start anew; it never
+    sees files of both generations.
+    """
+    recover_table(spark, path)
+    following, previous = _generation(path, "next"), _generation(path, "previous")
+    folders.remove(spark, following)
+    yield following
+    folders.remove(spark, previous)
+    if folders.exists(spark, path):
+        folders.move(spark, path, previous)
+    folders.move(spark, following, path)
+    folders.remove(spark, previous)
+
+
 def rebuild_table(df: DataFrame, path: str) -> DataFrame:
-    """Replace a whole table; the plan of ``df`` must not read ``path``."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace a whole table by rows that may be read from it."""
+    with replacing(df.sparkSession, path) as following:
+        df.write.parquet(following)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -131,15 +183,10 @@ def write_clustered(
     derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Write a fact in month folders, clustered inside, and return it as stored."""
-    rows = clustered(df, layout, derive)
-    with settings(df.sparkSession, {ADVISORY_SIZE: FILE_BYTES}):
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(layout.month)
-            .parquet(path)
-        )
-    return read_fact(df.sparkSession, path, layout, rows.schema)
+    rows, spark = clustered(df, layout, derive), df.sparkSession
+    with replacing(spark, path) as following, settings(spark, {ADVISORY_SIZE: FILE_BYTES}):
+        rows.write.partitionBy(layout.month).parquet(following)
+    return read_fact(spark, path, layout, rows.schema)
 
 
 def read_fact(
@@ -161,19 +208,36 @@ def in_months(layout: FactLayout, months: Iterable[dt.date | None]) -> Column:
     return condition | F.col(layout.month).isNull() if None in months else condition
 
 
+def month_folder(layout: FactLayout, month: dt.date | None) -> str:
+    return f"{layout.month}={NO_MONTH if month is None else month.isoformat()}"
+
+
 def publish_months(
     spark: SparkSession,
     staged: DataFrame,
     path: str,
     layout: FactLayout,
     rewritten: set[dt.date | None],
+    staged_path: str | None = None,
 ) -> None:
     """Replace the rewritten months of a stored fact by the staged rows.
 
-    A dynamic overwrite leaves alone a month for which there are no rows, so
-    a month that has become empty is overwritten by an empty file of its own.
-    Both steps can be repeated from the staged rows.
+    Given the folder of the staged rows, and if it lies in the fact's file
+    system, their files are moved as they are; what is left of that when it
+    fails is done by the next call, or by the next merge. Otherwise the rows
+    are written once more. A dynamic overwrite leaves alone a month for which
+    there are no rows, so a month that has become empty is then overwritten by
+    an empty file of its own. These steps can be repeated from the staged rows.
     """
+    if finish_publishing(spark, path):
+        return
+    if staged_path is not None and folders.same_system(spark, staged_path, path):
+        months = {month_folder(layout, month) for month in rewritten}
+        present = months & set(folders.names(spark, staged_path))
+        plan = {"staged": staged_path, "filled": sorted(present), "emptied": sorted(months - present)}
+        folders.write_text(spark, f"{path}/{PUBLISHING}", json.dumps(plan))
+        finish_publishing(spark, path)
+        return
     (
         staged.sortWithinPartitions(layout.month, layout.day, layout.cluster_key)
         .write.mode("overwrite")
@@ -183,5 +247,29 @@ def publish_months(
     )
     nothing = spark.createDataFrame([], staged.drop(layout.month).schema)
     for month in rewritten - months_of(staged, layout):
-        folder = "__HIVE_DEFAULT_PARTITION__" if month is None else month.isoformat()
-        nothing.coalesce(1).write.mode("overwrite").parquet(f"{path}/{layout.month}={folder}")
+        folder = f"{path}/{month_folder(layout, month)}"
+        nothing.coalesce(1).write.mode("overwrite").parquet(folder)
+
+
+def finish_publishing(spark: SparkSession, path: str) -> bool:
+    """Move the months that a started publication has not moved yet; whether there was one.
+
+    The months that are replaced are kept aside until all new ones are in place.
+    """
+    journal, aside = f"{path}/{PUBLISHING}", f"{path}/{REPLACED}"
+    if not folders.exists(spark, journal):
+        return False
+    plan = json.loads(folders.read_text(spark, journal))
+    waiting = set(folders.names(spark, plan["staged"]))
+    for folder in plan["filled"] + plan["emptied"]:
+        # A filled month that waits no more is in place already.
+        if folder in plan["filled"] and folder not in waiting:
+            continue
+        if folders.exists(spark, f"{path}/{folder}"):
+            folders.remove(spark, f"{aside}/{folder}")
+            folders.move(spark, f"{path}/{folder}", f"{aside}/{folder}")
+        if folder in waiting:
+            folders.move(spark, f"{plan['staged']}/{folder}", f"{path}/{folder}")
+    folders.remove(spark, journal)
+    folders.remove(spark, aside)
+    return True

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import AbstractContextManager
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from stratamart.functions import between_window
 from stratamart.operators.history import run_snapshot
+from stratamart.operators.line_months import build_table
 from stratamart.operators.merge import LOOKBACK_DAYS, merge_fact
 from stratamart.operators.quality import (
     METRIC_COLUMNS,
@@ -45,6 +46,8 @@ SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 40_000
 
+STORED_BY_MONTH = {"stg_tpch_orders": gold.ORDERS_LAYOUT}
+
 Window = tuple[dt.date | None, dt.date | None]
 
 
@@ -75,12 +78,19 @@ def sized_session(spark: SparkSession, folder: str) -> AbstractContextManager[No
 def rebuild_all(
     spark: SparkSession, tables: Mapping[str, DataFrame], folder: str
 ) -> dict[str, DataFrame]:
-    """Write independent tables side by side and return them as stored."""
+    """Write independent tables side by side and return them as stored.
+
+    Those in ``STORED_BY_MONTH`` have their month as a further column.
+    """
     in_session = inheritable_thread_target(spark)
 
     def write(item: tuple[str, DataFrame]) -> tuple[str, DataFrame]:
         name, table = item
-        return name, rebuild_table(as_declared(name, table), f"{folder}/{name}")
+        table, path = as_declared(name, table), f"{folder}/{name}"
+        layout = STORED_BY_MONTH.get(name)
+        if layout is not None:
+            return name, write_clustered(table, path, layout)
+        return name, rebuild_table(table, path)
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         return dict(pool.map(in_session(write), tables.items()))
@@ -91,6 +101,7 @@ def build_order_items(
     path: str,
     order_items: DataFrame,
     *,
+    recent: Callable[[dt.date | None], DataFrame] | None = None,
     full_refresh: bool = False,
     window: Window | None = None,
     lookback_days: int = LOOKBACK_DAYS,
@@ -98,6 +109,8 @@ def build_order_items(
     """Create the order-item fact, or merge the recent rows into it.
 
     A window limits either to its order days; it excludes a full refresh.
+    ``recent`` gives the order items since a day, for an increment that does
+    not read all of ``order_items``.
     """
     layout = gold.ORDER_ITEM_LAYOUT
     full = as_declared("fct_order_items", gold.fct_order_items(order_items))
@@ -107,14 +120,21 @@ def build_order_items(
         if window is not None:
             order_items = order_items.filter(between_window(F.col("order_date"), *window))
         narrow = gold.order_item_rows(order_items)
-        return write_clustered(narrow, path, layout, gold.order_item_columns)
+        fact = write_clustered(narrow, path, layout, gold.order_item_columns)
+        build_table(spark, path, layout, full.schema)
+        return fact
     if window is not None:
         rows = full.filter(between_window(F.col("order_date"), *window))
     else:
         rows = gold.order_items_increment(
-            order_items, target, lookback_days=lookback_days, month=layout.month
+            recent or order_items,
+            target,
+            lookback_days=lookback_days,
+            month=layout.month,
+            path=path,
         )
-    return merge_fact(spark, path, rows, layout)
+    with settings(spark, gold.RECENT_KEYS):
+        return merge_fact(spark, path, rows, layout)
 
 
 def build_shipment_events(
@@ -138,12 +158,14 @@ def build_shipment_events(
     if target is None or full_refresh:
         if window is not None:
             shipments = shipments.filter(between_window(F.col("order_date"), *window))
-        return write_clustered(
+        fact = write_clustered(
             gold.shipment_event_rows(shipments, sla_policy),
             path,
             layout,
             lambda rows: gold.shipment_event_columns(rows, status_policy),
         )
+        build_table(spark, path, layout, full.schema)
+        return fact
     if window is not None:
         lines = shipments.filter(between_window(F.col("order_date"), *window))
         rows = gold.fct_shipment_events(lines, sla_policy, status_policy)
@@ -153,6 +175,7 @@ def build_shipment_events(
         new_from=shipments if include_new_keys else None,
         lookback_days=lookback_days,
         month=layout.month,
+        path=path,
     )
     keys_path = scratch_path(spark, "refresh-keys")
     try:
@@ -235,7 +258,8 @@ def build_layers(
             },
             f"{out_dir}/gold",
         )
-        # Stored because the fact and five checks read it: one join instead of six.
+        # Stored because five checks and a first build read it: one join instead of six.
+        # An increment does not: it joins the recent orders alone.
         tables |= rebuild_all(
             spark,
             {"int_order_items": gold.int_order_items(orders, lines)},
@@ -245,6 +269,7 @@ def build_layers(
             spark,
             f"{out_dir}/gold/fct_order_items",
             tables["int_order_items"],
+            recent=lambda start: gold.recent_order_items(orders, lines, start),
             full_refresh=full_refresh,
             window=window,
             lookback_days=lookback_days,

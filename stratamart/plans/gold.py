@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +15,10 @@ from stratamart.operators.spine import date_bounds, date_spine
 from stratamart.operators.storage import FactLayout
 from stratamart.operators.unpivot import unpivot_shipments
 
+# Staged orders, in months as well: an increment opens only the recent ones.
+ORDERS_LAYOUT = FactLayout(
+    key="order_key", day="order_date", month="order_month", line=("order_key",)
+)
 ORDER_ITEM_LAYOUT = FactLayout(key="order_item_key", day="order_date", month="order_month")
 SHIPMENT_LAYOUT = FactLayout(key="shipment_event_key", day="event_date", month="event_month")
 
@@ -183,14 +190,46 @@ def fct_order_items(order_items: DataFrame) -> DataFrame:
 
 
 def order_items_increment(
-    order_items: DataFrame, target: DataFrame, *, lookback_days: int = 7, month: str | None = None
+    order_items: DataFrame | Callable[[dt.date | None], DataFrame],
+    target: DataFrame,
+    *,
+    lookback_days: int = 7,
+    month: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Fact rows to merge: those not older than the target's last day minus the allowance.
 
-    Older late rows are left out, and an empty target admits none.
+    Older late rows are left out, and an empty target admits none. Instead of
+    all order items a function may be given that makes those since a day.
     """
-    start = cutoff_value(target, "order_date", lookback_days=lookback_days, month=month)
-    return since(fct_order_items(order_items), "order_date", start)
+    start = cutoff_value(
+        target, "order_date", lookback_days=lookback_days, month=month, path=path
+    )
+    recent = order_items(start) if callable(order_items) else order_items
+    return since(fct_order_items(recent), "order_date", start)
+
+
+def recent_order_items(
+    orders: DataFrame, line_items: DataFrame, start: dt.date | None
+) -> DataFrame:
+    """Order items of the orders since a day.
+
+    The day selects folders of orders stored by month. The lines have no order
+    day; a join that cannot broadcast the recent orders filters the scan of
+    lines by a Bloom filter of their keys (``RECENT_KEYS``) before it moves them.
+    """
+    recent = since(orders, "order_date", start)
+    if start is not None and ORDERS_LAYOUT.month in orders.columns:
+        recent = recent.filter(F.col(ORDERS_LAYOUT.month) >= F.lit(start.replace(day=1)))
+    return int_order_items(recent, line_items)
+
+
+# Spark's own runtime filter, for lines of any size and up to a gigabyte of recent orders.
+RECENT_KEYS = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+}
 
 
 def int_order_items_summary(fact: DataFrame) -> DataFrame:
@@ -282,6 +321,7 @@ def shipment_refresh_keys(
     new_from: DataFrame | None = None,
     lookback_days: int = 7,
     month: str | None = None,
+    path: str | None = None,
 ) -> DataFrame:
     """Lines of the target with a recent event, or with an impossible lag.
 
@@ -289,7 +329,7 @@ def shipment_refresh_keys(
     seen. Both sides are made distinct inside the map tasks first.
     """
     start = cutoff_value(
-        target, "event_date", lookback_days=lookback_days, when_empty=EPOCH, month=month
+        target, "event_date", lookback_days=lookback_days, when_empty=EPOCH, month=month, path=path
     )
     due = (F.col("event_date") >= F.lit(start)) | (F.col("days_since_prior_event") < 0)
     keys = target.filter(due).select(*LINE).distinct()

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 import re
 from decimal import Decimal
 
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 import builders as b
 from plans_util import plan
-from stratamart.operators import merge, storage
+from stratamart.operators import folders, line_months, merge, storage
 from stratamart.operators.merge import (
     DuplicateMergeKeys,
     cutoff,
@@ -263,3 +264,199 @@ def test_clustering_computes_the_rows_once(spark, small):
 
     text = plan(storage.clustered(order_items(staging(spark, small)), gold.ORDER_ITEM_LAYOUT))
     assert "REBALANCE_PARTITIONS_BY_COL" in text and "rangepartitioning" not in text
+
+
+# Finding the months, publishing, and replacing whole tables
+
+
+def test_months_are_found_without_moving_or_scanning_the_fact(spark, folder, monkeypatch):
+    path, layout = f"{folder}/fact", gold.ORDER_ITEM_LAYOUT
+    from stratamart.catalog import order_items, staging
+
+    fact = order_items(staging(spark, "/root/testdata/sf0.001"))
+    monkeypatch.setattr(line_months, "ROWS_PER_BUCKET", 1000)
+    write_clustered(fact, path, layout)
+    where, buckets = line_months.build_table(spark, path, layout, fact.schema)
+    assert buckets > 1 and line_months.find_table(spark, path) == (where, buckets)
+    recent = storage.rebuild_table(
+        layout.with_month(fact.filter("order_date > '2001-06-01'")), f"{folder}/rows"
+    )
+    columns = recent.select(*line_months.columns_of(layout)).schema
+    with (
+        storage.settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}),
+        line_months.registered(spark, where, buckets, layout, columns) as name,
+    ):
+        for found in (
+            line_months.rewritten_months(spark.table(name), recent, layout),
+            line_months.new_lines(spark.table(name), recent, layout),
+        ):
+            text = plan(found, "simple")
+            known, other = [
+                part for part in re.split(r"\n[ :]*[+:]- Sort ", text) if "FileScan" in part
+            ][:2]
+            if "Bucketed: true" not in known:
+                known, other = other, known
+            assert "Bucketed: true" in known and "Exchange" not in known.split("FileScan")[0]
+            assert "Exchange hashpartitioning(order_key" in other
+            assert "fact/order_month" not in text
+        months = line_months.rewritten_months(spark.table(name), recent, layout).collect()
+        assert {r[0] for r in months} == storage.months_of(recent, layout)
+        assert line_months.new_lines(spark.table(name), recent, layout).count() == 0
+
+
+def test_line_months_follow_the_fact_through_many_merges(spark, folder, monkeypatch):
+    """Against a dictionary, with lines that move, undated rows, and buckets written anew."""
+    draw = random.Random(6)
+    monkeypatch.setattr(line_months, "MOST_FILES", 2)
+    path, expected = f"{folder}/fact", {}
+    write_clustered(rows(spark), path, LAYOUT)
+    for _ in range(6):
+        some = {}
+        for o in draw.sample(range(12), 4):
+            day = draw.choice([None, "2024-01-05", "2024-02-07", "2024-03-09", "2024-03-10"])
+            some[str(o)] = (str(o), o, day, draw.randint(0, 99))
+        merged = merge_fact(spark, path, rows(spark, *some.values()), LAYOUT)
+        expected |= some
+        assert content(merged) == sorted((k, o, str(d), v) for k, o, d, v in expected.values())
+        months = {n for n in folders.names(spark, path) if n.startswith("m=")}
+        filled = {storage.month_folder(LAYOUT, m) for m in storage.months_of(merged, LAYOUT)}
+        assert months == filled
+    where, buckets = line_months.find_table(spark, path)
+    files = [f for f in folders.names(spark, where) if f.startswith("part-")]
+    assert len(files) <= 2 * buckets + buckets
+    with line_months.registered(
+        spark, where, buckets, LAYOUT, merged.select(*line_months.columns_of(LAYOUT)).schema
+    ) as name:
+        known = {tuple(r) for r in spark.table(name).collect()}
+    assert {(r.o, r.m) for r in merged.collect()} <= known
+
+
+class Lost(OSError):
+    pass
+
+
+def failing_after(monkeypatch, moves):
+    """The next moves of folders work, the one after them does not."""
+    whole, left = folders.move, [moves]
+
+    def move(*args):
+        if not left[0]:
+            raise Lost
+        left[0] -= 1
+        whole(*args)
+
+    monkeypatch.setattr(folders, "move", move)
+
+
+@pytest.mark.parametrize("moves", range(5))
+def test_interrupted_publishing_is_finished_by_the_next_merge(spark, folder, monkeypatch, moves):
+    path = f"{folder}/fact"
+    write_clustered(
+        rows(
+            spark,
+            ("a", 1, "2024-01-05", 1),
+            ("b", 2, "2024-02-05", 1),
+            ("c", 3, "2024-03-05", 1),
+        ),
+        path,
+        LAYOUT,
+    )
+    source = rows(spark, ("a", 1, "2024-02-06", 2), ("b", 2, "2024-04-01", 2))
+    line_months.build_table(spark, path, LAYOUT, source.schema)
+    whole = storage.write_clustered
+
+    def staged_then_failing(*args):
+        done = whole(*args)
+        failing_after(monkeypatch, moves)
+        return done
+
+    monkeypatch.setattr(merge, "write_clustered", staged_then_failing)
+    failed = False
+    try:
+        merge_fact(spark, path, source, LAYOUT)
+    except Lost:
+        failed = True
+    monkeypatch.undo()
+    assert failed == (moves < 4)
+    expected = [
+        ("a", 1, "2024-02-06", 2),
+        ("b", 2, "2024-04-01", 2),
+        ("c", 3, "2024-03-05", 1),
+    ]
+    assert content(merge_fact(spark, path, source.limit(0), LAYOUT)) == expected
+    assert content(merge_fact(spark, path, source, LAYOUT)) == expected
+    assert not {storage.PUBLISHING, storage.REPLACED} & set(folders.names(spark, path))
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, folder):
+    path = f"{folder}/t"
+    storage.rebuild_table(spark.range(5), path)
+    bad = spark.range(5).withColumn("id", F.expr("if(id = 3, raise_error('lost'), id)").cast("long"))
+    with pytest.raises(Exception, match="lost"):
+        storage.rebuild_table(bad, path)
+    assert storage.load_if_exists(spark, path).count() == 5
+    with pytest.raises(Exception, match="lost"):
+        write_clustered(bad.selectExpr("'k' k", "id o", "date'2024-01-01' d", "1 v"), path, LAYOUT)
+    assert storage.load_if_exists(spark, path).count() == 5
+    # A table may be replaced by rows that are read from it.
+    twice = storage.load_if_exists(spark, path)
+    assert storage.rebuild_table(twice.unionAll(twice), path).count() == 10
+
+
+@pytest.mark.parametrize("moves, rows_found", [(0, 5), (1, 7)])
+def test_an_interrupted_switch_is_finished(spark, folder, monkeypatch, moves, rows_found):
+    path = f"{folder}/t"
+    storage.rebuild_table(spark.range(5), path)
+    failing_after(monkeypatch, moves)
+    with pytest.raises(Lost):
+        storage.rebuild_table(spark.range(7), path)
+    monkeypatch.undo()
+    assert storage.load_if_exists(spark, path).count() == rows_found
+    assert storage.rebuild_table(spark.range(9), path).count() == 9
+    assert folders.names(spark, folder) == ["t"]
+
+
+def test_the_newest_month_comes_from_the_listing(spark, folder):
+    path = f"{folder}/fact"
+    stored = write_clustered(
+        rows(spark, ("a", 1, "2024-01-05", 1), ("b", 2, "2024-02-05", 1), ("c", 3, None, 1)),
+        path,
+        LAYOUT,
+    )
+    # A month that has become empty has no say.
+    stored.limit(0).drop("m").coalesce(1).write.parquet(f"{path}/m=2024-07-01")
+    stored = read_fact(spark, path, LAYOUT, rows(spark).schema)
+    assert merge._newest_first(stored, "m", path) == merge._newest_first(stored, "m", None)
+    tracker, group = spark.sparkContext.statusTracker(), "listing"
+    spark.sparkContext.setJobGroup(group, "")
+    assert merge._newest_first(stored, "m", path)[0] == dt.date(2024, 7, 1)
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setJobGroup("", "")
+    for where in (path, None):
+        assert cutoff_value(stored, "d", month="m", path=where) == dt.date(2024, 1, 29)
+
+
+def test_an_increment_opens_recent_months_and_filters_lines(spark, small, folder):
+    from stratamart.catalog import order_items, staging
+
+    t = staging(spark, small)
+    orders = write_clustered(t["stg_tpch_orders"], f"{folder}/orders", gold.ORDERS_LAYOUT)
+    lines = storage.rebuild_table(t["stg_tpch_line_items"], f"{folder}/lines")
+    start = dt.date(2001, 7, 10)
+    wide = {"spark.sql.autoBroadcastJoinThreshold": "-1", **gold.RECENT_KEYS}
+    with storage.settings(spark, wide):
+        found = gold.recent_order_items(orders, lines, start)
+        text = plan(found)
+        months = text.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+        assert "order_month" in months and "2001-07-01" in months
+        assert "might_contain" in text
+        target = order_items(t).filter("order_date < '2001-07-17'")
+        newest = target.agg(F.max("order_date")).first()[0]
+        increment = gold.order_items_increment(
+            lambda day: gold.recent_order_items(orders, lines, day),
+            gold.ORDER_ITEM_LAYOUT.with_month(target),
+        )
+        expected = order_items(t).filter(F.col("order_date") >= F.lit(newest - dt.timedelta(7)))
+        assert increment.exceptAll(expected).count() == 0 < expected.count()
+        assert expected.exceptAll(increment).count() == 0
+    assert gold.recent_order_items(orders, lines, None).count() == 0
