@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import sys
+from collections.abc import Callable, Hashable, Iterator
+from functools import wraps
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from stratamart.operators.storage import scratch_path
+from stratamart.operators.storage import drop_scratch, scratch_path
 
 # Rows that a task turns into Python objects at a time; bounds its memory with very long texts.
 ROWS_AT_A_TIME = 256
@@ -19,13 +22,51 @@ ROWS_AT_A_TIME = 256
 SPACE = r"\x20\x09-\x0D"
 
 
+# For each operator that is at work, what it has stored on the way.
+_intermediates: list[list[str]] = []
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written to the shared folder and read back: cuts its lineage for good."""
     path = scratch_path(df.sparkSession, purpose)
     df.write.parquet(path)
+    if _intermediates:
+        _intermediates[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator whose result is stored, and whose intermediate tables are then removed."""
+
+    @wraps(operator)
+    def run(*args, **kwargs) -> DataFrame:
+        _intermediates.append([])
+        try:
+            result = operator(*args, **kwargs)
+            path = scratch_path(result.sparkSession, operator.__name__)
+            result.write.parquet(path)
+            for used in _intermediates[-1]:
+                drop_scratch(result.sparkSession, used)
+        finally:
+            _intermediates.pop()
+        if _intermediates:
+            _intermediates[-1].append(path)
+        return result.sparkSession.read.schema(result.schema).parquet(path)
+
+    return run
+
+
+def kept_by_worker(key: Hashable, make: Callable[[], object]) -> object:
+    """What a Python worker has made before under a key; workers outlive their tasks.
+
+    The code of this package travels with each task, so its own variables do not last.
+    """
+    place = sys.modules.setdefault("stratamart_worker", ModuleType("stratamart_worker"))
+    if key not in place.__dict__:
+        place.__dict__[key] = make()
+    return place.__dict__[key]
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -63,6 +104,19 @@ def map_task(
     return df.mapInArrow(over, schema)
 
 
+def joined_batches(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Small batches put together until they hold so many bytes."""
+    waiting, size = [], 0
+    for batch in batches:
+        waiting.append(batch)
+        size += batch.nbytes
+        if size >= most_bytes:
+            yield pa.concat_batches(waiting)
+            waiting, size = [], 0
+    if waiting:
+        yield pa.concat_batches(waiting)
+
+
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], dict], schema: str | T.StructType
 ) -> DataFrame:

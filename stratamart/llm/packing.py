@@ -26,9 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import map_batches, map_task, stored, tasks_for
+from .common import joined_batches, map_batches, map_task, stored, tasks_for, tidy
 from .scan import running_sums
-from .tokens import WordCoder, broadcast_vocabulary
+from .tokens import CODED_BYTES, broadcast_vocabulary, word_coder
 
 CAPACITY = 4096
 # Shares of the capacity above which items are placed before smaller ones.
@@ -56,8 +56,8 @@ def document_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = WordCoder(shared.value)
-        for batch in batches:
+        coder = word_coder(shared.value)
+        for batch in joined_batches(batches, CODED_BYTES):
             rows = []
             coded = coder.encode_all(batch.column("text").to_pylist())
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), coded):
@@ -79,6 +79,7 @@ def document_pieces(
     return map_task(kept, cut, schema + (", ids binary" if keep_ids else ""))
 
 
+@tidy
 def pack(pieces: DataFrame, capacity: int = CAPACITY, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Adds sequence_id and offset to rows with a ``length`` of 1 to ``capacity``.
 
@@ -279,10 +280,18 @@ class _Packer:
             F.col("gap_range").alias("range_no"),
             (F.col("gap_place") - F.col("place") + F.col("first")).alias("place"),
         )
+        # Items that no run takes have no key, so they stay out of the join.
+        without = wanted.where("place is null").select(
+            "piece_no",
+            "length",
+            F.lit(None).cast("long").alias("bin"),
+            F.lit(None).cast("long").alias("gap"),
+        )
         resolved = stored(
-            wanted.join(
-                left_gaps.select("range_no", "place", "bin", "gap"), ["range_no", "place"], "full"
-            ).drop("range_no", "place"),
+            wanted.where("place is not null")
+            .join(left_gaps.select("range_no", "place", "bin", "gap"), ["range_no", "place"], "full")
+            .drop("range_no", "place")
+            .unionByName(without),
             "pack-resolve",
         )
         taken = resolved.where("piece_no is not null and bin is not null")

@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, map_task, tasks_for
+from .common import joined_batches, map_batches, map_task, tasks_for
 from .scan import running_sums
-from .tokens import WordCoder, broadcast_vocabulary
+from .tokens import CODED_BYTES, broadcast_vocabulary, word_coder
 
 SCHEMA = "doc_id long, ids array<int>, row_no long"
 
@@ -34,7 +34,8 @@ def write_tokens(
 ) -> None:
     """Write the ids of every whole text, ``end_id`` last, in ascending doc_id order.
 
-    Files and their rows follow the order of (doc_id, text), nulls first. A null
+    Files and their rows follow the order of doc_id, nulls first; rows that share
+    one go by a hash of the text, so that the sample for the ranges holds no texts. A null
     text is an empty one and has the end id alone. Repeated rows are written each.
     """
     spark = docs.sparkSession
@@ -42,20 +43,20 @@ def write_tokens(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # Exact bytes of text: one aggregate over the scan.
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    order = (F.col("doc_id").asc_nulls_first(), F.col("text"))
+    order = (F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
     dealt = rows.repartitionByRange(tasks_for(total, bytes_per_file), *order)
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = WordCoder(shared.value)
-        for batch in batches:
+        coder = word_coder(shared.value)
+        for batch in joined_batches(batches, CODED_BYTES):
             found = [ids + end for ids in coder.encode_all(batch.column("text").to_pylist())]
             offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
             values = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
             yield {"doc_id": batch.column("doc_id"), "ids": ids}
 
-    coded = map_task(dealt.sortWithinPartitions(*order), encode, "doc_id long, ids array<int>")
+    coded = map_task(dealt.sortWithinPartitions(*order, "text"), encode, "doc_id long, ids array<int>")
     (
         coded.withColumn("row_no", F.monotonically_increasing_id())
         .write.option("compression", "zstd")

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
+from .common import kept_by_worker
+
 LONGEST_KEPT = 64  # bytes of a word whose ids are remembered
 MOST_KEPT = 500_000  # words in each of the two generations that a task remembers
 JOINED = 1000  # new words that are encoded in one call
+CODED_BYTES = 8 << 20  # of texts that are encoded together; the more, the fewer different words
 WORD_END = "</w>"
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe
 # Marks between an ASCII letter or digit and the end of a word.
-TAIL = re.compile(rb"(?<=[a-z0-9])([%s]+)(?=[ \t-\r]|$)" % re.escape(MARKS))
-# How the names of special tokens begin, and the first bytes of combining marks.
-LEFT_WHOLE = (b"<|", b"\xcc", b"\xcd")
+TAIL = r"([a-z0-9])([" + re.escape(MARKS.decode()) + r"]+)([ \t-\r]|$)"
+# How the names of special tokens begin, and combining marks.
+LEFT_WHOLE = "<\\||[\u0300-\u037f]"
 
 
 class WordCoder(dict):
@@ -73,12 +79,13 @@ class WordCoder(dict):
                 return stem, word[len(stem) :]
         return word, b""
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _learn(self, words: list[bytes]) -> None:
         """Remember the ids of new words."""
-        known, older = self.keys(), self.older.keys()
+        older = self.older
         letters, others = [], []
-        for stem in {self._parts(w)[0] for w in (words - known) - older}:
-            if stem in self or stem in self.older or len(stem) > LONGEST_KEPT:
+        new = {self._parts(w)[0] for w in words if w not in self and w not in older}
+        for stem in new:
+            if stem in self or stem in older or len(stem) > LONGEST_KEPT:
                 continue
             text = stem.decode()
             plain = text.isalpha() and text.lower().isalpha()
@@ -103,21 +110,40 @@ class WordCoder(dict):
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each whole text."""
-        words = []
-        for text in texts:
-            raw = (text or "").encode()
-            if any(x in raw for x in LEFT_WHOLE):
-                words.append(None)
-            else:
-                words.append(TAIL.sub(rb" \1", raw.lower()).split())
-        self._learn(set().union(*filter(None, words)))
+        """The ids of each whole text.
+
+        Words are cut and counted as columns, so each different word of the
+        texts is looked up once; the ids are put together by its number.
+        """
+        column = pc.fill_null(pa.array(texts, pa.large_string()), "")
+        whole = pc.match_substring_regex(column, LEFT_WHOLE)
+        parted = pc.replace_substring_regex(pc.ascii_lower(column), TAIL, r"\1 \2\3")
+        words = pc.ascii_split_whitespace(pc.if_else(whole, "", parted))
+        coded = words.flatten().dictionary_encode()
+        different = coded.dictionary.cast(pa.large_binary()).to_pylist()
+        self._learn(different)
+        ids = list(map(self.__getitem__, different))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool = np.frombuffer(b"".join(ids), "<u4")
+        starts = np.cumsum(sizes) - sizes
+        numbers = coded.indices.to_numpy()
+        per_word = sizes[numbers]
+        ends = np.cumsum(per_word)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[numbers] - ends + per_word, per_word)
+        joined = pool[at].tobytes()
+        edges = 4 * np.concatenate([[0], ends])[np.asarray(words.offsets) - words.offsets[0].as_py()]
         return [
-            self._ids(text).tobytes() if some is None else b"".join(map(self.__getitem__, some))
-            for text, some in zip(texts, words)
+            self._ids(text).tobytes() if left else joined[first:last]
+            for text, left, first, last in zip(texts, whole.to_pylist(), edges[:-1].tolist(), edges[1:].tolist())
         ]
 
 
+def word_coder(vocabulary: str) -> WordCoder:
+    """The coder of a Python worker, which tasks that follow one another share."""
+    key = ("word coder", hashlib.md5(vocabulary.encode()).digest())
+    return kept_by_worker(key, lambda: WordCoder(vocabulary))
+
+
 def vocabulary(path: str) -> str:
     """The file's content, which tasks get by broadcast: only the driver needs the file."""
     with open(path, encoding="utf-8") as file:
