@@ -25,6 +25,7 @@ from stratamart.operators.storage import FactLayout, read_fact, replacing, setti
 
 FOLDER = "_lines-"  # followed by the number of buckets
 ROWS_PER_BUCKET = 4_000_000
+FEW_BUCKETS, ROWS_OF_FEW = 8, 50_000  # a small table is written side by side all the same
 MOST_BUCKETS = 10_000
 MOST_FILES = 16  # of a bucket, before they are written anew
 
@@ -82,7 +83,9 @@ def build_table(
 ) -> tuple[str, int]:
     """Write the line months of a stored fact, from one narrow scan of it."""
     lines = read_fact(spark, path, layout, schema).select(*columns_of(layout))
-    buckets = max(1, min(MOST_BUCKETS, -(-lines.count() // ROWS_PER_BUCKET)))
+    n = lines.count()
+    few = min(FEW_BUCKETS, -(-n // ROWS_OF_FEW))
+    buckets = max(1, few, min(MOST_BUCKETS, -(-n // ROWS_PER_BUCKET)))
     folder = f"{path}/{FOLDER}{buckets}"
     with replacing(spark, folder) as following:
         # An empty fact leaves an empty folder behind.

@@ -163,7 +163,7 @@ def _months_concerned(
     columns = rows.select(*line_months.columns_of(layout)).schema
     with line_months.registered(spark, folder, buckets, layout, columns) as name:
         old = line_months.rewritten_months(spark.table(name), rows, layout)
-        months = months_of(rows, layout) | months_of(old, layout)
+        months = months_of(rows.select(layout.month).union(old), layout)
         line_months.add_lines(spark, name, folder, buckets, rows, layout)
     return months
 
