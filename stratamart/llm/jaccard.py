@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_task, stored
+from .common import map_task, stored, tidy
 from .components import components
 from .shingles import Shingler, common_counts, similar
 
@@ -162,6 +162,7 @@ def _sizes_permit(a: str, b: str, percent: int) -> Column:
     return 100 * small >= percent * large
 
 
+@tidy
 def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) per row of ``docs``, repeated rows each.
 
@@ -187,6 +188,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         collided = nodes.groupBy("node").count().where("count > 1")
         if not collided.take(1):
             break
+    else:
+        raise RuntimeError("too many different texts to number them by 64 bits")
     shared = stored(_shared_shingles(numbered), "jaccard-shared")
     texts = _texts(docs, numbered, shared)
     star = stored(_with_pivot(shared, percent), "jaccard-star")
@@ -377,13 +380,22 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
         .select("block_l", "block_r")
     )
     met = stored(met.withColumn("pair", F.monotonically_increasing_id()), "jaccard-block-pairs")
-    members = rows.select("block", "node", "component").distinct()
+    members = stored(
+        rows.groupBy("block", "node").agg(
+            F.first("component").alias("component"),
+            F.first("n").alias("n"),
+            F.first("matches").alias("matches"),
+            F.sort_array(F.collect_list("shingle")).alias("prefix"),
+        ),
+        "jaccard-members",
+    )
     sides = met.select("pair", F.col("block_l").alias("block"), F.lit(0).alias("side")).unionByName(
         met.select("pair", F.col("block_r").alias("block"), F.lit(1).alias("side"))
     )
+    # Texts follow for those nodes only that share enough of their prefixes with one of the other block.
+    able = stored(_able(sides.join(members, "block"), percent), "jaccard-able")
     loaded = (
-        sides.join(members, "block")
-        .join(texts, "node")
+        able.join(texts, "node")
         .select("pair", "side", "node", "component", "text")
         .repartition("pair")
         .sortWithinPartitions("pair", "side", "node")
@@ -418,6 +430,50 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
     return map_task(loaded, compare, "a long, b long")
 
 
+def _able(members: DataFrame, percent: int) -> DataFrame:
+    """(pair, side, node, component) of the nodes that may link with one of the pair's other block.
+
+    Two nodes may if their sizes permit it, their components differ, and their
+    prefixes share as many shingles as the smaller of their matches.
+    """
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        last, sides = None, ([], [])
+        for batch in batches:
+            for pair, side, *node in zip(*(c.to_pylist() for c in batch.columns)):
+                if pair != last:
+                    yield from found(last, *sides)
+                    last, sides = pair, ([], [])
+                sides[side].append(node)
+        yield from found(last, *sides)
+
+    def found(pair: int | None, left: list[list], right: list[list]) -> Iterator[dict]:
+        if not left or not right:
+            return
+        columns = [[np.array(c) for c in list(zip(*side))[1:4]] for side in (left, right)]
+        (component, n, matches), (component_r, n_r, matches_r) = columns
+        sets = [[np.array(node[4]) for node in side] for side in (left, right)]
+        may = common_counts(*sets) >= np.minimum(matches[:, None], matches_r[None, :])
+        may &= component[:, None] != component_r[None, :]
+        may &= 100 * np.minimum(n[:, None], n_r[None, :]) >= percent * np.maximum(n[:, None], n_r[None, :])
+        for side, nodes, able in ((0, left, may.any(axis=1)), (1, right, may.any(axis=0))):
+            some = [node for node, ok in zip(nodes, able) if ok]
+            if some:
+                yield {
+                    "pair": [pair] * len(some),
+                    "side": [side] * len(some),
+                    "node": [node[0] for node in some],
+                    "component": [node[1] for node in some],
+                }
+
+    together = (
+        members.select("pair", "side", "node", "component", "n", "matches", "prefix")
+        .repartition("pair")
+        .sortWithinPartitions("pair", "side", "node")
+    )
+    return map_task(together, choose, "pair long, side int, node long, component long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose whole texts are as similar as asked for."""
     text_a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
