@@ -15,9 +15,9 @@ from tokenizers import Tokenizer
 from .common import kept_by_worker
 
 LONGEST_KEPT = 64  # bytes of a word whose ids are remembered
-MOST_KEPT = 500_000  # words in each of the two generations that a task remembers
+MOST_KEPT = 250_000  # words in each of the two generations that a task remembers
 JOINED = 1000  # new words that are encoded in one call
-CODED_BYTES = 8 << 20  # of texts that are encoded together; the more, the fewer different words
+CODED_BYTES = 2 << 20  # of texts that are encoded together; the more, the fewer different words
 WORD_END = "</w>"
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe
 # Marks between an ASCII letter or digit and the end of a word.
