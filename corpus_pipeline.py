@@ -35,45 +35,63 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataF
 
 
 def drop_rule_breakers(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that break no quality rule."""
-    row = F.struct(*[F.col(name) for name in docs.columns]).alias("row")
-    # Stored before the filter, which the optimizer would otherwise copy all counts into.
-    judged = stored(quality_rules(docs, carry=row).select("row", "kept"), "rules")
-    return judged.where("kept").select("row.*")
+    """Documents that break no quality rule.
+
+    Each row is judged by itself: null and empty texts go (they have fewer than
+    ten words), repeated rows stay or go together, an empty table stays one.
+    Other columns are carried along whatever their names.
+    """
+    row = F.struct(*[F.col(f"`{name}`").alias(name) for name in docs.columns]).alias("row")
+    judged = quality_rules(docs, carry=row).select("row", "kept", F.rand().alias("drawn"))
+    # With the drawn number the filter stays above the projection; the optimizer would
+    # otherwise copy all counts into it and compute them twice. No row has a negative one.
+    return judged.where("kept and drawn >= 0").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id.
 
-    Of rows that repeat an id one stays, with the smallest text; rows without an id all stay.
+    Of rows that repeat an id one stays, with the smallest text (null first);
+    rows without an id all stay, and so do null and empty texts. An empty table
+    stays one. Other columns may be of any type.
     """
     groups = stored(jaccard_components(docs).select("doc_id", "component_id"), "near-copies")
     dropped = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    kept = docs.join(dropped, "doc_id", "left_anti").select([f"`{name}`" for name in docs.columns])
     repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if not repeated.take(1):
         return kept
     alone = kept.where("doc_id is null")
-    others = [F.min(F.struct("text", *[c for c in docs.columns if c != "text"])).alias("row")]
-    one_each = kept.where("doc_id is not null").groupBy("doc_id").agg(*others).select("row.*")
-    return alone.unionByName(one_each).select(docs.columns)
+    names = [f"`{name}`" for name in docs.columns]
+    first = F.min_by(F.struct(*names), F.struct("text")).alias("row")
+    one_each = kept.where("doc_id is not null").groupBy("doc_id").agg(first).select("row.*")
+    return alone.unionByName(one_each).select(names)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    Null and empty texts have no words and are never taken, nor is anything of
+    an empty table. Rows that repeat an id, source and text are taken alike; a
+    null id or source is one like others. Other columns are carried along.
+    """
     key = ["doc_id", "source", "text_hash"]
     taken = mix(docs).where("copies > 0").select(*key, "copies").distinct()
     hashed = docs.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
     same = [hashed[name].eqNullSafe(taken[name]) for name in key]
     return (
         hashed.join(taken, same)
-        .select(*[hashed[name] for name in docs.columns], F.explode(F.expr("sequence(1, copies)")))
+        .select(*[hashed[f"`{name}`"] for name in docs.columns], F.explode(F.expr("sequence(1, copies)")))
         .drop("col")
     )
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of documents with their sequence and place, as the packing operator gives them."""
+    """Pieces of documents with their sequence and place, as the packing operator gives them.
+
+    Null and empty texts are one piece with the end id alone, repeated rows give
+    their pieces each, an empty table none. Other columns are left behind.
+    """
     return pack(document_pieces(docs, vocabulary_path(), END_ID))
 
 
