@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import joined_batches, map_batches, map_task, stored, tasks_for, tidy
 from .scan import running_sums
-from .tokens import CODED_BYTES, broadcast_vocabulary, word_coder
+from .tokens import CODED_BYTES, WordCoder, broadcast_vocabulary
 
 CAPACITY = 4096
 # Shares of the capacity above which items are placed before smaller ones.
@@ -56,7 +56,7 @@ def document_pieces(
     width = 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = word_coder(shared.value)
+        coder = WordCoder(shared.value)
         for batch in joined_batches(batches, CODED_BYTES):
             rows = []
             coded = coder.encode_all(batch.column("text").to_pylist())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import joined_batches, map_batches, map_task, tasks_for
 from .scan import running_sums
-from .tokens import CODED_BYTES, broadcast_vocabulary, word_coder
+from .tokens import CODED_BYTES, WordCoder, broadcast_vocabulary
 
 SCHEMA = "doc_id long, ids array<int>, row_no long"
 
@@ -48,7 +48,7 @@ def write_tokens(
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        coder = word_coder(shared.value)
+        coder = WordCoder(shared.value)
         for batch in joined_batches(batches, CODED_BYTES):
             found = [ids + end for ids in coder.encode_all(batch.column("text").to_pylist())]
             offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import os
 import re
 
@@ -12,8 +11,6 @@ import pyarrow.compute as pc
 from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
-from .common import kept_by_worker
-
 LONGEST_KEPT = 64  # bytes of a word whose ids are remembered
 MOST_KEPT = 250_000  # words in each of the two generations that a task remembers
 JOINED = 1000  # new words that are encoded in one call
@@ -138,12 +135,6 @@ class WordCoder(dict):
         ]
 
 
-def word_coder(vocabulary: str) -> WordCoder:
-    """The coder of a Python worker, which tasks that follow one another share."""
-    key = ("word coder", hashlib.md5(vocabulary.encode()).digest())
-    return kept_by_worker(key, lambda: WordCoder(vocabulary))
-
-
 def vocabulary(path: str) -> str:
     """The file's content, which tasks get by broadcast: only the driver needs the file."""
     with open(path, encoding="utf-8") as file:
