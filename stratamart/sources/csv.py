@@ -11,5 +11,15 @@ DAILY_METRICS_SCHEMA = (
 
 
 def read_daily_metrics_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The exported daily metric, read with its declared schema (no inference)."""
-    return spark.read.schema(DAILY_METRICS_SCHEMA).option("header", True).csv(path)
+    """The exported daily metric, read with its declared schema (no inference).
+
+    A header with other names, or the same in another order, is refused; so is a
+    line with a value that is not of its column's type. The error names the file.
+    """
+    return (
+        spark.read.schema(DAILY_METRICS_SCHEMA)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
+        .csv(path)
+    )

@@ -57,3 +57,24 @@ def test_stored_bytes_counts_files_of_a_folder(spark, folder):
 def _written(spark, folder):
     spark.range(10).write.parquet(f"{folder}/t/orders.parquet")
     return f"{folder}/t"
+
+
+@pytest.mark.parametrize(
+    "header, line, complaint",
+    [
+        ("order_date,items_cnt,item_discount_amount,gross_item_sales_amount", "2024-01-01,1,2.0,3.0", "header"),
+        ("order_date,items_cnt,gross_item_sales_amount,item_discount_amount", "2024-01-01,1,2x0,3.0", "batch.csv"),
+    ],
+)
+def test_swapped_columns_and_damaged_numbers_are_refused(spark, folder, header, line, complaint):
+    from stratamart.sources import read_daily_metrics_csv
+
+    def write(*lines):
+        with open(f"{folder}/batch.csv", "w") as file:
+            file.write("\n".join(lines))
+        return read_daily_metrics_csv(spark, f"{folder}/batch.csv")
+
+    good = "order_date,items_cnt,gross_item_sales_amount,item_discount_amount"
+    assert write(good, "2024-01-01,1,2.0,3.0", "2024-01-02,,,").count() == 2
+    with pytest.raises(Exception, match=complaint):
+        write(header, "2023-12-31,5,1.0,1.0", line).collect()
