@@ -159,36 +159,95 @@ def _row_wise(df: DataFrame, checks: list[Check], suite: str, as_of: dt.date | N
     return _metric_rows(df.agg(*[F.expr(w) for w in wanted]), suite, counted)
 
 
-def _repeated(df: DataFrame, check: Check, suite: str) -> DataFrame:
-    """Number of key values that occur more than once."""
-    repeated = "copies > 1"
-    if check.kind == "unique":
-        repeated += f" and `{check.columns[0]}` is not null"
-    copies = df.groupBy(*check.columns).agg(F.expr("count(*) as copies"))
-    totals = copies.agg(
-        F.expr("sum(copies) as n_rows"), F.expr(f"count_if({repeated}) as n_bad")
-    )
-    return _metric_rows(totals, suite, {check: "n_bad"})
+# The checks on keys, which have to bring equal keys together.
+KEY_KINDS = ("unique", "unique_combination", "relationships")
+WHOLE_NUMBERS = ("tinyint", "smallint", "int", "bigint")
+
+
+def _key_types(tables: Mapping[str, DataFrame], check: Check) -> list[str]:
+    """Types in which the keys of a check are compared; whole numbers as the widest one."""
+    keys = tables[check.target].select(*[f"`{c}`" for c in check.columns])
+    if check.kind == "relationships":
+        parent, column = check.parent
+        keys = keys.union(tables[parent].select(f"`{column}`"))
+    types = [f.dataType.simpleString() for f in keys.schema.fields]
+    return ["bigint" if t in WHOLE_NUMBERS else t for t in types]
 
 
-def _orphans(child: DataFrame, parent: DataFrame, check: Check, suite: str) -> DataFrame:
-    """Number of child rows without a parent.
+def _key_rows(
+    tables: Mapping[str, DataFrame], checks: list[Check]
+) -> tuple[list[DataFrame], list[str]]:
+    """(columns for keys, check, child, parent) of all checks, from one scan per table.
 
-    Both sides are counted per key before they are shuffled, so a key shared
-    by most of the child rows travels as one row per task.
+    A key stands in the columns of its types, the others are NULL, so keys of
+    any types share one row layout. A row of a table gives one row per check
+    it takes part in, as child (the checked side) or as parent.
     """
-    referring = child.selectExpr(f"`{check.columns[0]}` as k", "1 as child", "0 as parent")
-    known = parent.selectExpr(f"`{check.parent[1]}` as k", "0 as child", "1 as parent")
+    columns: dict[str, str] = {}
+    wanted: dict[str, list[tuple[int, dict[str, str], bool]]] = {}
+    for number, check in enumerate(checks):
+        places: list[str] = []
+        for kind in _key_types(tables, check):
+            place = f"k{sum(columns[p] == kind for p in places)}_{kind}"
+            columns[place] = kind
+            places.append(place)
+        wanted.setdefault(check.target, []).append((number, dict(zip(places, check.columns)), False))
+        if check.kind == "relationships":
+            parent, column = check.parent
+            wanted.setdefault(parent, []).append((number, {places[0]: column}, True))
+
+    def row(number: int, key: dict[str, str], is_parent: bool) -> str:
+        values = [f"'check', {number}", f"'child', {int(not is_parent)}", f"'parent', {int(is_parent)}"]
+        for place, kind in columns.items():
+            value = f"`{key[place]}`" if place in key else "null"
+            values.append(f"'{place}', cast({value} as {kind})")
+        return f"named_struct({', '.join(values)})"
+
+    parts = [
+        tables[target].selectExpr(f"inline(array({', '.join(row(*w) for w in group)}))")
+        for target, group in wanted.items()
+    ]
+    return parts, list(columns)
+
+
+def _keyed(tables: Mapping[str, DataFrame], checks: list[Check], suite: str) -> DataFrame:
+    """All uniqueness and reference checks in one aggregate over (check, key).
+
+    Bad are key values that occur more than once, or child rows without a
+    parent. Keys are counted before they are shuffled, so a key shared by most
+    rows travels as one row per task.
+    """
+    parts, columns = _key_rows(tables, checks)
+    quoted = [f"`{c}`" for c in columns]
     per_key = (
-        referring.union(known)
-        .groupBy("k")
+        _union(parts)
+        .groupBy(*quoted, "check")
         .agg(F.expr("sum(child) as children"), F.expr("max(parent) as known"))
     )
-    orphaned = "k is not null and known = 0"
-    totals = per_key.agg(
-        F.expr("sum(children) as n_rows"), F.expr(f"sum(if({orphaned}, children, 0)) as n_bad")
-    )
-    return _metric_rows(totals, suite, {check: "n_bad"})
+    of_kind = {kind: [str(i) for i, c in enumerate(checks) if c.kind == kind] for kind in KEY_KINDS}
+    present = f"({' or '.join(f'{c} is not null' for c in quoted)})"
+    bad = {
+        "unique": f"if(children > 1 and {present}, 1, 0)",
+        "unique_combination": "if(children > 1, 1, 0)",
+        "relationships": f"if(known = 0 and {present}, children, 0)",
+    }
+    cases = [f"when check in ({', '.join(of_kind[k])}) then {bad[k]}" for k in KEY_KINDS if of_kind[k]]
+    counted = per_key.selectExpr("check", "children as n_rows", f"case {' '.join(cases)} end as n_bad")
+    # A check over empty tables has no key, but a result.
+    numbers = per_key.sparkSession.range(len(checks), numPartitions=1)
+    counted = counted.union(numbers.selectExpr("cast(id as int)", "0", "0"))
+    totals = counted.groupBy("check").agg(F.expr("sum(n_rows) as n_rows"), F.expr("sum(n_bad) as n_bad"))
+    declared = [
+        f"""named_struct(
+            'suite', {_text(suite)},
+            'target', {_text(check.target)},
+            'check_name', {_text(check.kind)},
+            'column_name', {_text(check.column_name)},
+            'severity', {_text(check.severity)})"""
+        for check in checks
+    ]
+    named = totals.selectExpr(f"array({', '.join(declared)})[check] as declared", "n_rows", "n_bad")
+    return named.selectExpr("declared.*", "n_rows", "n_bad", "n_bad = 0 as passed")
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -207,16 +266,14 @@ def check_metrics(
     as_of: dt.date | None = None,
 ) -> DataFrame:
     """One metrics row per check; nothing runs until the result is read."""
-    parts: list[DataFrame] = []
+    keyed: list[Check] = []
     row_wise: dict[str, list[Check]] = {}
     for check in checks:
-        table = tables[check.target]
-        if check.kind in ("unique", "unique_combination"):
-            parts.append(_repeated(table, check, suite))
-        elif check.kind == "relationships":
-            parts.append(_orphans(table, tables[check.parent[0]], check, suite))
+        if check.kind in KEY_KINDS:
+            keyed.append(check)
         else:
             row_wise.setdefault(check.target, []).append(check)
+    parts = [_keyed(tables, keyed, suite)] if keyed else []
     for target, group in row_wise.items():
         parts.append(_row_wise(tables[target], group, suite, as_of))
     return _union(parts)

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window as W
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from plans_util import plan
 from stratamart.__main__ import arguments, run
 from stratamart.catalog import BUILT_ON, KNOWN_TO_FAIL, daily, staging
+from stratamart.operators import folders
 from stratamart.operators.quality import GateFailed
 from stratamart.operators.retention import latest_n_per_group
 from stratamart.plans import checks, gold
@@ -52,6 +54,40 @@ def test_results_are_kept_per_run(spark, small, folder):
     assert read_results(spark, folder).select("run_id").distinct().count() == 3
 
 
+def test_pruning_leaves_kept_runs_alone_and_can_be_repeated(spark, small, folder, monkeypatch):
+    metrics = checks.run_suite(daily(staging(spark, small)))
+    for days in range(4):
+        store_results(metrics, folder, RUN + dt.timedelta(days=days))
+    other = metrics.withColumn("suite", F.lit("by hand: 1/2"))
+    store_results(other, folder, RUN)
+    store_results(other, folder, RUN + dt.timedelta(days=9))
+
+    def files():
+        return {str(f): f.stat().st_mtime_ns for f in Path(folder).rglob("*.parquet")}
+
+    before, removed = files(), []
+    remove = folders.remove
+
+    def failing(session, path):
+        if removed:
+            raise OSError("storage is away")
+        removed.append(path)
+        remove(session, path)
+
+    monkeypatch.setattr(folders, "remove", failing)
+    with pytest.raises(OSError, match="away"):
+        prune_results(spark, folder, keep=1)
+    monkeypatch.setattr(folders, "remove", remove)
+    assert len(removed) == 1
+    left = prune_results(spark, folder, keep=1).select("suite", "run_id").distinct().collect()
+    assert {tuple(r) for r in left} == {
+        ("daily_metrics", "20240104-000000"),
+        ("by hand: 1/2", "20240110-000000"),
+    }
+    after = files()
+    assert len(after) == 2 and after.items() <= before.items()
+
+
 def test_failing_batch_is_stored_and_raises(spark, small, folder):
     batch = daily(staging(spark, small)).withColumn("items_cnt", F.lit(-1).cast("bigint"))
     with pytest.raises(GateFailed, match="at_least"):

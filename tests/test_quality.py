@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from collections import Counter
 from decimal import Decimal
 
@@ -7,6 +8,7 @@ import pytest
 import builders as b
 from plans_util import plan
 from stratamart.operators.quality import (
+    KEY_KINDS,
     Check,
     GateFailed,
     accepted_values,
@@ -119,6 +121,67 @@ def test_orphans_are_counted_per_key_before_the_shuffle(spark, small):
     assert "partial_sum" in text[exchange:] and "Join" not in text
 
 
+def test_checks_on_keys_share_one_exchange_and_one_scan_per_table(spark, small):
+    from stratamart.catalog import staging
+
+    t = staging(spark, small)
+    declared = [c for c in checks.STAGING_CHECKS if c.kind in KEY_KINDS]
+    text = plan(check_metrics(t, declared, "s"), "simple")
+    targets = {c.target for c in declared} | {c.parent[0] for c in declared if c.parent}
+    assert len(declared) == 9 and text.count("FileScan") == len(targets) == 5
+    # Equal keys meet once, the totals per check once more.
+    assert text.count("Exchange hashpartitioning") == 2 and "Join" not in text
+
+
+def test_keys_of_all_types_against_a_count_in_python(spark):
+    draw = random.Random(5)
+
+    def some(*values):
+        return draw.choice([None, *values])
+
+    rows = [
+        (some(1, 2, 3), some(1, 2**40), some("a", "", "1"), some(b.day("2024-01-01"), b.day("1969-12-31")),
+         some(Decimal("1.50"), Decimal("2.00")))
+        for _ in range(60)
+    ]
+    child = spark.createDataFrame(rows, "i int, l bigint, s string, d date, `a.b` decimal(9,2)")
+    parents = [(1, "a", b.day("2024-01-01"), Decimal("1.5")), (None, None, None, None), (1, "a", None, None)]
+    parent = spark.createDataFrame(parents, "id bigint, s string, d date, x decimal(12,4)")
+    names = ["i", "l", "s", "d", "a.b"]
+    pairs = {"i": "id", "l": "id", "s": "s", "d": "d", "a.b": "x"}
+    declared = [
+        *unique("c", *names),
+        *unique_combination("c", "i", "l"),
+        *unique_combination("c", "l", "i", "s", "d"),
+        *unique("p", "id"),
+        *[c for k, v in pairs.items() for c in relationship("c", k, "p", v)],
+        *relationship("c", "i", "c", "l"),
+        *unique("none", "s"),
+    ]
+    tables = {"c": child, "p": parent, "none": child.limit(0)}
+    found = {
+        (r.target, r.check_name, r.column_name, i): (r.n_rows, r.n_bad, r.passed)
+        for i, r in enumerate(sorted(check_metrics(tables, declared, "s").collect()))
+    }
+    data = {"c": (names, rows), "p": (["id", "s", "d", "x"], parents), "none": (names, [])}
+
+    def column(target, name):
+        heads, values = data[target]
+        return [v[heads.index(name)] for v in values]
+
+    expected = []
+    for check in declared:
+        keys = list(zip(*[column(check.target, c) for c in check.columns]))
+        copies = Counter(keys)
+        if check.kind == "relationships":
+            known = set(column(*check.parent))
+            n_bad = sum(k[0] is not None and k[0] not in known for k in keys)
+        else:
+            n_bad = sum(n > 1 and (check.kind != "unique" or k[0] is not None) for k, n in copies.items())
+        expected.append((check.target, check.kind, check.column_name, len(keys), n_bad, n_bad == 0))
+    assert sorted((*k[:3], *v) for k, v in found.items()) == sorted(expected)
+
+
 def test_gate_minds_severity(spark):
     rows = table(spark, (1, None, "a"))
     declared = not_null("t", "n", "k")
