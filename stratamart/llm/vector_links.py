@@ -19,16 +19,18 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_task, stored
+from .common import map_task, stored, tidy
 from .components import components
 
 PARTS = 4  # blocks of coordinates
+WIDEST_MATRIX = 1024  # wider vectors are rotated without a matrix, whose size grows with the square
 
 
 @dataclass(frozen=True)
@@ -50,25 +52,40 @@ class CapCodes:
         """About as many filters as vectors, a million at least."""
         return cls(width, max(32, int(np.ceil(vectors ** (1 / PARTS)))))
 
+    @lru_cache(maxsize=2)
     def tables(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
         """The rotation and the directions of each code; the same for the same numbers."""
         random = np.random.default_rng(self.seed)
         padded = -(-self.width // PARTS) * PARTS
         found = []
         for _ in range(self.codes):
-            rotation, _ = np.linalg.qr(random.standard_normal((padded, padded)))
+            if self.width <= WIDEST_MATRIX:
+                rotation = np.linalg.qr(random.standard_normal((padded, padded)))[0][: self.width]
+            else:
+                padded = 1 << (self.width - 1).bit_length()
+                rotation = random.choice([-1.0, 1.0], (3, padded))
             blocks = []
             for _ in range(PARTS):
                 block = random.standard_normal((self.directions, padded // PARTS))
                 blocks.append(block / np.linalg.norm(block, axis=1, keepdims=True))
-            found.append((rotation[: self.width], blocks))
+            found.append((rotation, blocks))
         return found
 
-    def filters(self, unit: np.ndarray, tables=None) -> np.ndarray:
+    def turned(self, unit: np.ndarray, rotation: np.ndarray) -> np.ndarray:
+        """Rotated rows: by a matrix, or by three rounds of random signs and a Hadamard transform."""
+        if self.width <= WIDEST_MATRIX:
+            return unit @ rotation
+        rows = np.zeros((len(unit), rotation.shape[1]))
+        rows[:, : self.width] = unit
+        for signs in rotation:
+            rows = _hadamard(rows * signs)
+        return rows
+
+    def filters(self, unit: np.ndarray) -> np.ndarray:
         """Sorted filter numbers, one row per row of unit vectors."""
         lists = []
-        for number, (rotation, blocks) in enumerate(tables or self.tables()):
-            turned = np.split(unit @ rotation, PARTS, axis=1)
+        for number, (rotation, blocks) in enumerate(self.tables()):
+            turned = np.split(self.turned(unit, rotation), PARTS, axis=1)
             a, b, c, d = (part @ block.T for part, block in zip(turned, blocks))
             front = (a[:, :, None] + b[:, None, :]).reshape(len(unit), -1)
             back = (c[:, :, None] + d[:, None, :]).reshape(len(unit), -1)
@@ -92,25 +109,41 @@ class CapCodes:
 BLOCK = 256  # vectors that are compared with as many in one group of rows
 
 
+def _hadamard(rows: np.ndarray) -> np.ndarray:
+    """The orthonormal Hadamard transform of rows whose width is a power of two."""
+    n, width = rows.shape
+    half = 1
+    while half < width:
+        pairs = rows.reshape(n, width // (2 * half), 2, half)
+        rows = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], 2).reshape(n, width)
+        half *= 2
+    return rows / np.sqrt(width)
+
+
 def _usable(values: list | None) -> bool:
     if not values or any(x is None for x in values):
         return False
-    with np.errstate(over="ignore"):
-        length = np.linalg.norm(np.array(values, np.float64))
-    return bool(np.isfinite(length) and length > 0)
+    numbers = np.array(values, np.float64)
+    return bool(np.isfinite(numbers).all() and numbers.any())
+
 
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Rows of length one. A power of two first brings the largest component near one, so no square overflows."""
+    _, exponent = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+    scaled = np.ldexp(vectors, -exponent)
+    return scaled / np.linalg.norm(scaled, axis=1, keepdims=True)
 
-def vector_links(
-    vectors: DataFrame, threshold: float = 0.95, codes: CapCodes | None = None
-) -> DataFrame:
+
+@tidy
+def vector_links(vectors: DataFrame, threshold: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept) per row of ``vectors`` (vec_id, embedding).
 
     Rows link when the cosine of their vectors is ``threshold`` or more. Rows
     of equal vectors are compared as one and all link with one another. A row
-    links with nothing if its vector is null, empty or zero, holds a null or
-    non-finite component, or differs in length from the most frequent length;
-    nor does a row with a null id, which has no component and is not kept. Repeated ids are
-    rows of their own. An empty table gives an empty result. Other columns are not read.
+    links with nothing if its vector is null, empty or zero or holds a null or
+    non-finite component; nor does a row with a null id, which has no component and is not kept.
+    Vectors of any width and length are compared, with those of their own width: between different
+    widths there is no cosine. Repeated ids are rows of their own. An empty table gives an empty result. Other columns are not read.
     """
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -137,12 +170,9 @@ def vector_links(
         "vectors",
     )
     usable = F.col("vector_key").isNotNull() & F.col("vec_id").isNotNull()
-    widths = found.where(usable).groupBy("width").count().orderBy(F.desc("count"), "width").first()
-    width = widths.width if widths else 0
-    usable &= F.col("width") == width
     nodes = stored(
         found.where(usable)
-        .groupBy("vector_key")
+        .groupBy("vector_key", "width")
         .agg(
             F.min("row_no").alias("node"),
             F.min("vec_id").alias("first_id"),
@@ -150,11 +180,11 @@ def vector_links(
         ),
         "vector-nodes",
     )
-    codes = codes or CapCodes.fitting(nodes.count(), max(width, 1))
-    own = found.select(F.col("row_no").alias("node"), "embedding").join(
-        nodes.select("node", "rows"), "node"
-    )
-    compared = stored(_compare(_filtered(own, codes), threshold), "vector-compared")
+    # K widths with two vectors each take more than K * K numbers, so few fit into any table.
+    several = nodes.groupBy("width").count().where("count > 1").collect()
+    own = found.select(F.col("row_no").alias("node"), "width", "embedding").join(nodes.select("node", "rows"), "node")
+    listed = _filtered(own, {r["width"] for r in several}, sum(r["count"] for r in several))
+    compared = stored(_compare(listed, threshold), "vector-compared")
     counts = compared.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     linked = components(
         compared.where("other is not null").select(F.col("node").alias("a"), F.col("other").alias("b"))
@@ -184,54 +214,64 @@ def vector_links(
     )
 
 
-def _filtered(nodes: DataFrame, codes: CapCodes) -> DataFrame:
-    """(filter, node, rows, unit, filters): a row for each filter of each node."""
+def _filtered(nodes: DataFrame, widths: set[int], vectors: int) -> DataFrame:
+    """(width, node, rows, unit, filters) per node of one of the widths."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        tables = codes.tables()
         for batch in batches:
-            vectors = np.array(batch.column("embedding").to_pylist(), np.float64)
-            unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
-            filters = codes.filters(unit, tables)
-            yield {
-                "node": batch.column("node"),
-                "rows": batch.column("rows"),
-                "unit": [row.tobytes() for row in unit],
-                "filters": list(filters),
-            }
+            width = batch.column("width").to_numpy()
+            for here in np.unique(width).tolist():
+                if here not in widths:
+                    continue
+                rows = batch.filter(pa.array(width == here))
+                unit = _unit(np.array(rows.column("embedding").to_pylist(), np.float64))
+                yield {
+                    "width": rows.column("width"),
+                    "node": rows.column("node"),
+                    "rows": rows.column("rows"),
+                    "unit": [row.tobytes() for row in unit],
+                    "filters": list(CapCodes.fitting(vectors, here).filters(unit)),
+                }
 
     listed = map_task(
-        nodes.select("node", "rows", "embedding"),
+        nodes.select("width", "node", "rows", "embedding"),
         decode,
-        "node long, rows long, unit binary, filters array<long>",
+        "width int, node long, rows long, unit binary, filters array<long>",
     )
     return stored(listed, "vector-filters")
 
 
 def _compare(listed: DataFrame, threshold: float) -> DataFrame:
     """(node, links) with the number of rows linked, and (node, other) of links that span."""
-    members = listed.select(F.explode("filters").alias("filter"), "node")
+    members = listed.select("width", F.explode("filters").alias("filter"), "node")
     # Filters of one vector are gone before vectors travel.
     sizes = (
-        members.groupBy("filter")
+        members.groupBy("width", "filter")
         .agg(F.count("*").alias("n"))
         .where("n > 1")
-        .select("filter", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
+        .select("width", "filter", F.ceil(F.col("n") / BLOCK).cast("int").alias("parts"))
     )
     block = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     paired = (
-        members.join(sizes, "filter")
+        members.join(sizes, ["width", "filter"])
         .withColumn("block", block)
         .select(
-            "filter", "node", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("met")
+            "width", "filter", "node", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("met")
+        )
+        .select(
+            "width",
+            "filter",
+            "node",
+            F.least("block", "met").alias("low"),
+            F.greatest("block", "met").alias("high"),
+            "block",
         )
-        .select("filter", "node", F.least("block", "met").alias("low"), F.greatest("block", "met").alias("high"), "block")
     )
     loaded = (
-        paired.join(listed, "node")
-        .repartition("filter", "low", "high")
-        .sortWithinPartitions("filter", "low", "high", "node")
-        .select("filter", "low", "high", "block", "node", "rows", "unit", "filters")
+        paired.join(listed.drop("width"), "node")
+        .repartition("width", "filter", "low", "high")
+        .sortWithinPartitions("width", "filter", "low", "high", "node")
+        .select("width", "filter", "low", "high", "block", "node", "rows", "unit", "filters")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -239,16 +279,16 @@ def _compare(listed: DataFrame, threshold: float) -> DataFrame:
         last, rows = None, []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if row[:3] != last:
+                if row[:4] != last:
                     yield from links(last, rows)
-                    last, rows = row[:3], []
-                rows.append(row[3:])
+                    last, rows = row[:4], []
+                rows.append(row[4:])
         yield from links(last, rows)
 
     def links(key: tuple | None, rows: list[tuple]) -> Iterator[dict]:
         if len(rows) < 2:
             return
-        here, low, high = key
+        _, here, low, high = key
         blocks = np.array([r[0] for r in rows])
         left, right = np.flatnonzero(blocks == low), np.flatnonzero(blocks == high)
         if not len(left) or not len(right):

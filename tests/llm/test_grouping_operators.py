@@ -1,6 +1,7 @@
 """Near copies, vector links and components against brute force."""
 
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -147,6 +148,38 @@ def vectors():
     return rows
 
 
+def wide_vectors():
+    """Equal, near and unlike vectors of five widths, with lengths near both ends of doubles."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for width in (1, 3, 24, 60, 1500):
+        centres = rng.standard_normal((3, width))
+        for i in range(30):
+            v = centres[i % 3] + rng.standard_normal(width) * 0.02
+            rows.append((1000 * width + i, (v * [1.0, 1e200, 1e-300][i // 10]).tolist()))
+    rows += [(1, [1e200] * 32), (2, [1e200] * 32), (3, [1.5e308] * 32), (4, [5e-324] * 32)]
+    return rows + [(5, [1.0] * 7), (6, [0.0] * 32), (7, [float("inf")] + [1.0] * 31)]
+
+
+def brute_links_by_width(rows):
+    def direction(v):
+        return np.array([Fraction(x) / Fraction(max(map(abs, v))) for x in v], np.float64)
+
+    found = []
+    for width in {len(v) for _, v in rows}:
+        here = [(i, v) for i, v in rows if len(v) == width]
+        fine = [bool(np.isfinite(v).all() and any(v)) for _, v in here]
+        unit = np.array([direction(v) / np.linalg.norm(direction(v)) if ok else [np.nan] * width for ok, (_, v) in zip(fine, here)])
+        alike = unit @ unit.T >= 0.95
+        np.fill_diagonal(alike, False)
+        groups = smallest(len(here), list(zip(*np.nonzero(alike))))
+        least = {}
+        for group, (i, _) in zip(groups, here):
+            least[group] = min(i, least.get(group, i))
+        found += [(i, int(alike[k].sum()), least[groups[k]]) for k, (i, _) in enumerate(here)]
+    return sorted(found)
+
+
 def brute_links(rows):
     usable = [
         i is not None
@@ -187,13 +220,24 @@ def test_vector_links_equal_brute_force(spark, monkeypatch, block):
     assert vector_links(given.where("false")).count() == 0
 
 
-def test_recall_at_the_threshold():
+def test_vectors_of_every_width_and_length_are_linked(spark):
+    rows = wide_vectors()
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted((r.vec_id, r.n_links, r.component_id) for r in vector_links(given).collect())
+    expected = brute_links_by_width(rows)
+    # Between 1e200 and 1e-300 small components of the latter lose digits, but no direction.
+    assert found == expected and sum(n for _, n, _ in found) > 1000
+    assert [f[:2] for f in found[:7]] == [(1, 3), (2, 3), (3, 3), (4, 3), (5, 0), (6, 0), (7, 0)]
+
+
+@pytest.mark.parametrize("width", [64, 1500])
+def test_recall_at_the_threshold(width):
     rng = np.random.default_rng(9)
-    a = rng.standard_normal((2000, 64))
+    a = rng.standard_normal((2000, width))
     a /= np.linalg.norm(a, axis=1, keepdims=True)
-    b = rng.standard_normal((2000, 64))
+    b = rng.standard_normal((2000, width))
     b -= (b * a).sum(1, keepdims=True) * a
     b = 0.95 * a + np.sqrt(1 - 0.95**2) * b / np.linalg.norm(b, axis=1, keepdims=True)
-    codes = CapCodes.fitting(50_000, 64)
+    codes = CapCodes.fitting(50_000, width)
     met = [set(x) & set(y) for x, y in zip(codes.filters(a).tolist(), codes.filters(b).tolist())]
     assert np.mean([bool(m) for m in met]) >= 0.99
