@@ -159,16 +159,19 @@ def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
 def clustered(
     df: DataFrame, layout: FactLayout, derive: Callable[[DataFrame], DataFrame] | None = None
 ) -> DataFrame:
-    """Rows brought together by month and sorted by day and cluster key.
+    """Rows brought together by day and sorted by day and cluster key.
 
     A range partitioning would have to compute the rows once more to sample
-    them. Rebalancing does not, and adaptive execution cuts a month into tasks
-    of one file each, even when all its rows are alike. The order inside the
-    files lets scans skip to the days they ask for. Columns added by ``derive``
-    are computed after the shuffle and do not travel through it.
+    them. Rebalancing does not: a day goes to one task, adaptive execution puts
+    small tasks together and cuts a task that is larger than a file, even when
+    all its rows are alike. So a day lies in one file, until it, or a day dealt
+    to the same task, needs several; a build has enough shuffle partitions for
+    that (``sized_session``).
+    The order inside the files lets scans skip to the days they ask for.
+    Columns added by ``derive`` are computed after the shuffle and do not
+    travel through it.
     """
-    rows = df.withColumn("_month", F.trunc(layout.day, "month")).hint("rebalance", "_month")
-    rows = rows.drop("_month")
+    rows = df.hint("rebalance", layout.day)
     if derive is not None:
         rows = derive(rows)
     return layout.with_month(rows).sortWithinPartitions(

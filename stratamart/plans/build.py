@@ -42,6 +42,7 @@ from stratamart.plans.snapshots import SNAPSHOTS
 from stratamart.sources import read_sources
 
 CONCURRENT_WRITES = 8
+ADAPTIVE = "spark.sql.adaptive.enabled"
 SHUFFLE_PARTITIONS = "spark.sql.shuffle.partitions"
 SHUFFLE_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 40_000
@@ -219,8 +220,11 @@ def build_layers(
 
     Returns the stored check metrics of the run. ``severities`` replaces the
     severity of single checks: a check at ``warn`` is reported but does not
-    stop the build. ``window`` replays a range of order dates into the facts.
+    stop the build. A session without adaptive execution is refused. ``window`` replays a range of order dates into the facts.
     """
+    if spark.conf.get(ADAPTIVE).lower() != "true":
+        # Hot keys and the sizes of files are left to it.
+        raise RuntimeError(f"a build needs {ADAPTIVE}=true")
     results_path = f"{out_dir}/validation_results"
     tables: dict[str, DataFrame] = dict(sources or read_sources(spark, src_dir))
 

@@ -88,6 +88,16 @@ def test_pruning_leaves_kept_runs_alone_and_can_be_repeated(spark, small, folder
     assert len(after) == 2 and after.items() <= before.items()
 
 
+def test_a_build_without_adaptive_execution_is_refused(spark, small, folder):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with pytest.raises(RuntimeError, match="adaptive"):
+            build_layers(spark, small, folder, RUN)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert list(Path(folder).iterdir()) == []
+
+
 def test_failing_batch_is_stored_and_raises(spark, small, folder):
     batch = daily(staging(spark, small)).withColumn("items_cnt", F.lit(-1).cast("bigint"))
     with pytest.raises(GateFailed, match="at_least"):

@@ -247,6 +247,29 @@ def test_clustered_files_are_sorted_by_day_and_key(spark, folder, large_scale):
         assert rows_of_file == sorted(rows_of_file)
 
 
+def test_files_of_a_month_hold_different_days(spark, folder, large_scale):
+    """Two months of which one day is larger than all others together."""
+    day = "cast(if(id % 2 = 0, date'2024-01-09', date_add(date'2024-01-01', cast(id % 59 as int))) as date)"
+    span = spark.range(60_000).selectExpr("uuid() k", "id o", f"{day} d", "cast(id as int) v")
+    span = span.union(span.limit(50).selectExpr("k", "o", "null", "v"))
+    # As a build sets them: so many tasks that one is smaller than a file.
+    tasks = 256
+    with storage.settings(spark, {"spark.sql.shuffle.partitions": str(tasks)}):
+        stored = write_clustered(span, f"{folder}/fact", LAYOUT)
+    held = (
+        stored.select("d", F.input_file_name().alias("file"), F.pmod(F.hash("d"), F.lit(tasks)).alias("task"))
+        .groupBy("d", "task")
+        .agg(F.collect_set("file").alias("files"))
+        .collect()
+    )
+    hot = next(row for row in held if row.d == b.day("2024-01-09"))
+    assert len(held) == 60 and len(hot.files) > 2
+    # A day has one file, unless it came to the task of a day that needs several.
+    others = [row for row in held if row.task != hot.task]
+    assert len(others) > 30 and all(len(row.files) == 1 for row in others)
+    assert len({row.files[0] for row in others if row.d and row.d.month == 1}) > 1
+
+
 def test_one_repeated_row_is_spread_over_several_files(spark, folder, large_scale):
     copies = spark.range(0, 400_000, 1, 8).select(
         F.md5(F.least(F.col("id"), F.lit(0)).cast("string")).alias("k"),
