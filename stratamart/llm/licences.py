@@ -1,13 +1,14 @@
 """Licence paragraphs by a trained classifier, confirmed by comparison with templates.
 
 A sparse logistic regression over word n-grams tells the families of licences
-and an unknown class apart. It is trained on variants of template sentences
-and, for the unknown class, on lines of the corpus that hold no template, scraps of templates
-and templates with their words in another order. The margin between the best
-family and unknown is calibrated on variants kept out of the training. A
-prediction counts if the text holds a licence word and a template sentence of
-the family is contained in it. Licence texts are wrapped, so what is judged are
-the lines of a paragraph and its runs of consecutive lines joined together.
+and an unknown class apart. It judges overlapping windows of a paragraph's
+words, so neither the length of a line nor where it is wrapped matters. It is trained on
+variants of template sentences and, for the unknown class, on windows of the corpus that hold
+no template, scraps of templates, templates with their words in another
+order, near misses and denials. The margin between the best family and
+unknown is calibrated on variants kept out of the training. A prediction
+counts if a template sentence of the family is contained in the window with
+its required words and is not denied there.
 
 Only DataFrame functions and Spark's own learner run: no code of ours runs in tasks.
 """
@@ -21,7 +22,7 @@ from functools import reduce
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizer
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -109,16 +110,21 @@ IDENTIFIERS = {
 TEMPLATES = {
     family: (*all_of, f"SPDX-License-Identifier: {IDENTIFIERS[family]}") for family, all_of in TEMPLATES.items()
 }
-# Words of which a licence paragraph must hold one, as every template does.
-ANCHORS = (
-    "license licensed licenses licence licensing permission copyright redistribution permitted"
-    " released unencumbered compliance granted gnu apache mozilla domain waived purpose unlicense"
+# Words without which a template sentence does not speak of its licence; a text must hold those of the template.
+REQUIRED = (
+    "license licenses apache mit gnu lesser affero bsd mozilla isc cc by sa nc creative attribution sharealike"
+    " noncommercial cc0 waived unencumbered domain unlicense permission software redistribution binary fee"
 ).split()
+# Every template requires one of these, so text without any of them holds no licence.
+ANCHORS = "license licenses permission redistribution gnu cc cc0 waived unencumbered unlicense".split()
+VERBS = "licensed released distributed provided available published covered offered granted permitted waived".split()
+NEGATIONS = rf"\b(?:not|cannot|never|no longer|(?:is|are|was|were)n['\u2019]?t) (?:(?:been|yet|be|being|currently) )?(?={'|'.join(VERBS)})"
+DENIED_WORDS = 3  # words after a denied verb that are marked, too; what is denied stands there
 TOKEN = r"[a-z0-9]+(?:\.[0-9]+)*"
 CONTAINED = 60
 # A line without a letter or digit, comment marks or not, ends a paragraph.
 BLANK = r"\n[^\p{L}\p{N}\n]*(?=\n)"
-COMMENT_WORD = r"(?i)^\s*(?:dnl|rem)\b"  # other comment marks hold no word
+COMMENT_WORD = r"(?m)^[ \t]*(?:dnl|rem)\b"  # other comment marks hold no word
 # What stands before and after a template in an example.
 FRAMES = (
     ("this text is", "see below"),
@@ -126,23 +132,47 @@ FRAMES = (
     ("this file is part of the program", "for details"),
     ("copyright 2019 2021 by the contributors", "without any warranty"),
 )
-JOINED_LINES = 6  # over which a template sentence may be wrapped
-# Words between the first and the last of joined lines; no template has half as many.
-INNER_WORDS = 40
+# What stands for a required word in a near miss.
+FILLERS = ("house", "rules", "garden", "leaflet")
+# (words of a window, words from one window to the next). Any run of at most words - step + 1 words lies whole in
+# a window. Short windows tell licences apart that stand side by side; the longest template has 24 words.
+SCALES = ((12, 4), (40, 10))
+WIDEST = max(words for words, _ in SCALES)
 
 
 def tokens(text: str) -> list[str]:
     return re.findall(TOKEN, text.lower())
 
 
-def templates() -> list[tuple[str, int, list[str]]]:
-    """(family, number, words) of every template sentence."""
+def templates() -> list[tuple[str, int, list[str], list[str]]]:
+    """(family, number, words, required words) of every template sentence."""
     sentences = [(family, s) for family, all_of in TEMPLATES.items() for s in all_of]
-    return [(family, i, tokens(s)) for i, (family, s) in enumerate(sentences)]
+    return [(family, i, tokens(s), sorted(set(tokens(s)) & set(REQUIRED))) for i, (family, s) in enumerate(sentences)]
+
+
+def _plain(text: Column) -> Column:
+    """Lower case, one spelling, separators and comment marks as a space, denials marked.
+
+    A negation is joined to its verb and to some words after it, as in "notlicensed notunder notthe notmit license".
+    """
+    spelt = F.regexp_replace(F.regexp_replace(F.lower(text), "licence", "license"), COMMENT_WORD, "")
+    spaced = F.regexp_replace(spelt, r"[^a-z0-9.'\u2019]+", " ")
+    marked = F.regexp_replace(spaced, NEGATIONS, "not")
+    for words_on in range(DENIED_WORDS):
+        denied = rf"\b(not(?:{'|'.join(VERBS)})(?: \S+){{{words_on}}}) (?=[a-z0-9])"
+        marked = F.regexp_replace(marked, denied, "$1 not")
+    return marked
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+    return F.regexp_extract_all(text, F.lit(TOKEN), F.lit(0))
+
+
+def _cut(text: Column, words: int, step: int) -> Column:
+    """Overlapping windows of a plain text, from one regular expression that passes over it once."""
+    unit = r"(?:[a-z0-9]++(?:\.[0-9]++)*+[^a-z0-9]*+)"
+    pieces = F.regexp_extract_all(text, F.lit(rf"(?=({unit}{{1,{words}}}+)){unit}{{1,{step}}}+"), F.lit(1))
+    return F.transform(pieces, lambda x, i: F.struct((i * step).alias("first"), x.alias("text")))
 
 
 def _pairs(words: str) -> Column:
@@ -161,99 +191,116 @@ def _features(words: str) -> Column:
     return F.array_distinct(F.concat(F.col(words), _pairs(words)))
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_no, paragraph, first, last, words) of lines, and runs of lines, that hold an anchor word.
+def windows(docs: DataFrame) -> DataFrame:
+    """(doc_id, row_no, paragraph, first, wide, words) of the windows of all paragraphs that hold an anchor word.
 
-    Runs are of up to ``JOINED_LINES`` lines of one paragraph; ``first`` and ``last`` count its lines from 1.
+    ``first`` is the number of the window's first word in its paragraph, from 0, ``wide`` the length of its kind.
     """
-    anchor = rf"(?i)\b(?:{'|'.join(ANCHORS)})\b"
+    anchor = rf"\b(?:{'|'.join(ANCHORS)})\b"
     numbered = F.transform(
         F.split(F.coalesce("text", F.lit("")), BLANK),
         lambda text, i: F.struct(i.alias("paragraph"), text.alias("text")),
     )
-    found = F.filter(numbered, lambda x: x["text"].rlike(anchor))
-    words_of = lambda line: _words(F.regexp_replace(line, COMMENT_WORD, ""))
-    lines = F.filter(F.transform(F.split("x.text", "\n"), words_of), lambda words: F.size(words) > 0)
-    anchors = F.array(*map(F.lit, ANCHORS))
-
-    def joined(first: Column, last: Column) -> Column:
-        return F.flatten(F.slice("lines", first, F.greatest(last - first + 1, F.lit(0))))
-
-    def from_line(first: Column) -> Column:
-        ends = F.sequence(first, F.least(first + JOINED_LINES - 1, F.size("lines")))
-        runs = F.transform(
-            ends,
-            lambda last: F.struct(first.alias("first"), last.alias("last"), joined(first, last).alias("words")),
+    found = F.filter(numbered, lambda x: x["text"].rlike(rf"(?i)licence|{anchor}"))
+    cut = F.flatten(
+        F.array(
+            *[
+                F.transform(
+                    F.filter(_cut(F.col("text"), words, step), lambda x: x["text"].rlike(anchor)),
+                    lambda x, words=words: F.struct(x["first"], F.lit(words).alias("wide"), x["text"]),
+                )
+                for words, step in SCALES
+            ]
         )
-        return F.filter(
-            runs,
-            lambda x: (F.size(joined(x["first"] + 1, x["last"] - 1)) <= INNER_WORDS)
-            & F.arrays_overlap(x["words"], anchors),
-        )
-
-    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.size("lines")), from_line))
+    )
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("found"))
         .where(F.size("found") > 0)
         .withColumn("row_no", F.monotonically_increasing_id())
         .select("doc_id", "row_no", F.explode("found").alias("x"))
-        .select("doc_id", "row_no", "x.paragraph", lines.alias("lines"))
-        .where(F.size("lines") > 0)
-        .select("doc_id", "row_no", "paragraph", F.explode(runs).alias("x"))
-        .select("doc_id", "row_no", "paragraph", "x.first", "x.last", "x.words")
+        .select("doc_id", "row_no", "x.paragraph", _plain(F.col("x.text")).alias("text"))
+        .select("doc_id", "row_no", "paragraph", F.explode(cut).alias("x"))
+        .select("doc_id", "row_no", "paragraph", "x.first", "x.wide", _words(F.col("x.text")).alias("words"))
     )
 
 
-def _examples(docs: DataFrame, sample_documents: int) -> DataFrame:
+def _examples(docs: DataFrame, sample_documents: int, sample_windows: int = 4000) -> DataFrame:
     """(label, words): variants of the templates, and what is not a licence."""
     spark = docs.sparkSession
-    given = spark.createDataFrame(templates(), "label string, number int, words array<string>")
+    given = spark.createDataFrame(templates(), "label string, number int, words array<string>, required array<string>")
     n = F.size("words")
+    whole_ones = lambda df: df.where(F.size(F.array_except("required", "words")) == 0)
 
     def without(step: int) -> DataFrame:
         """Each word left out once, and with it every word ``step`` further on."""
         left_out = given.select("*", F.explode(F.sequence(F.lit(0), n - 1)).alias("at"))
         keep = lambda w, i: (F.pmod(i - F.col("at"), F.lit(step)) != 0)
-        return left_out.select("label", F.filter("words", keep).alias("words"))
+        return whole_ones(left_out.select("label", F.filter("words", keep).alias("words"), "required")).select(
+            "label", "words"
+        )
 
     whole = given.select("label", "words")
     framed = [
         whole.select("label", F.concat(F.split(F.lit(before), " "), "words", F.split(F.lit(after), " ")).alias("words"))
         for before, after in FRAMES
     ]
+    prose = stored(_prose(docs, sample_documents, sample_windows), "licence-prose")
+    # Templates in the midst of the corpus' own words, a few for each.
+    around = prose.where(F.size("words") >= 12).orderBy(F.md5(F.concat_ws(" ", "words")), "words").limit(8)
+    for row in around.collect():  # eight windows
+        half = len(row.words) // 2
+        before, after = (F.array(*map(F.lit, part)) for part in (row.words[:half], row.words[half:]))
+        framed.append(whole.select("label", F.concat(before, "words", after).alias("words")))
     # An identifier without its last word is that of no licence.
-    fewer = [without(step).where("not array_contains(words, 'spdx') and not array_contains(words, 'identifier')") for step in (1000, 7)]
+    named = F.array_contains("words", "spdx") | F.array_contains("words", "identifier")
+    fewer = [without(step).where(~named) for step in (1000, 7)]
     families = reduce(DataFrame.unionByName, [whole, *framed, *fewer])
     # Identifiers count whole or not at all, so they need no scraps.
     sentences = given.where("words[0] <> 'spdx'")
-    windows = sentences.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("at"))
-    scraps = windows.select(F.slice("words", F.col("at") + 1, F.greatest(F.lit(1), F.floor(n / 4).cast("int"))).alias("words"))
+    starts = sentences.select("*", F.explode(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)))).alias("at"))
+    scraps = starts.select(F.slice("words", F.col("at") + 1, F.greatest(F.lit(1), F.floor(n / 4).cast("int"))).alias("words"))
+    # Near misses: one required word, or all of them, are others; and what is said not to be so.
+    filler = lambda i: F.element_at(F.array(*map(F.lit, FILLERS)), (i % len(FILLERS)) + 1)
+    needed = lambda w: F.array_contains("required", w)
+    one = starts.where(needed(F.get("words", F.col("at")))).select(
+        F.transform("words", lambda w, i: F.when(i == F.col("at"), filler(F.col("at"))).otherwise(w)).alias("words")
+    )
+    all_others = sentences.where(F.size("required") > 0).select(
+        F.transform("words", lambda w, i: F.when(needed(w), filler(i)).otherwise(w)).alias("words")
+    )
+    denials = []
+    for _, _, words, _ in templates():
+        for at in (i for i, word in enumerate(words) if word in VERBS):
+            marked = [f"not{w}" if at <= i <= at + DENIED_WORDS else w for i, w in enumerate(words)]
+            denials += [(marked,), (["our", "product", "is", *marked],)]
+    denied = spark.createDataFrame(denials, "words array<string>")
     mixed = sentences.select(
         F.transform(
             F.array_sort(F.transform("words", lambda w: F.struct(F.md5(w.cast("binary")).alias("h"), w.alias("w")))),
             lambda x: x["w"],
         ).alias("words")
     )
-    some = docs.select("doc_id", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_documents)
-    lines = some.select(F.explode(F.split("text", "\n")).alias("line")).select(
-        _words(F.col("line")).alias("words")
-    )
-    plain = lines.where(F.size("words") > 0).join(_licence_lines(some), "words", "left_anti")
-    unknown = reduce(DataFrame.unionByName, [scraps, mixed, plain]).select(
-        F.lit(UNKNOWN).alias("label"), "words"
-    )
+    near = [scraps, one, all_others, denied, mixed, prose]
+    unknown = reduce(DataFrame.unionByName, near).select(F.lit(UNKNOWN).alias("label"), "words")
     return families.unionByName(unknown)
 
 
-def _licence_lines(docs: DataFrame) -> DataFrame:
-    """(words) of lines with an anchor word that hold a template sentence, alone or joined to the lines around them."""
-    runs = stored(paragraphs(docs), "licence-sample")
-    keys = ["row_no", "paragraph", "first", "last"]
-    held = _contained(runs, keys).select(
-        "row_no", "paragraph", F.col("first").alias("from"), F.col("last").alias("to")
-    )
-    lines = runs.where("first = last").join(held, ["row_no", "paragraph"])
-    return lines.where(F.col("first").between(F.col("from"), F.col("to"))).select("words").distinct()
+def _prose(docs: DataFrame, sample_documents: int, sample_windows: int) -> DataFrame:
+    """(words) of windows of some documents, without those that hold 30 percent of a template.
+
+    Documents and windows are chosen by hashes, so only hashes are sorted and no
+    copy is taken twice.
+    """
+    hashed = docs.where("text is not null").select(F.xxhash64("text").alias("h"), "text")
+    chosen = hashed.select("h").distinct().orderBy("h").limit(sample_documents)
+    some = hashed.join(F.broadcast(chosen), "h").dropDuplicates(["h"])  # a bounded number of hashes
+    cuts = [_cut(_plain(F.col("text")), words, step) for words, step in SCALES]
+    cut = some.select(F.explode(F.array_distinct(F.flatten(F.array(*cuts)))).alias("x"))
+    words = cut.select(_words(F.col("x.text")).alias("words")).distinct()
+    numbered = words.select(F.xxhash64("words").alias("key"), "words")
+    some_windows = stored(numbered.orderBy("key").limit(sample_windows), "licence-windows")
+    held = _contained(some_windows, ["key"], least=30)
+    return some_windows.join(held, "key", "left_anti").select("words")
 
 
 @dataclass(frozen=True)
@@ -268,15 +315,15 @@ class LicenceModel:
 
 
 def fit_licences(
-    docs: DataFrame, sample_documents: int = 300, most_features: int = 4096
+    docs: DataFrame, sample_documents: int = 300, sample_windows: int = 4000, most_features: int = 4096
 ) -> LicenceModel:
-    """Train on template variants and on the paragraphs of at most ``sample_documents`` documents."""
+    """Train on template variants and on at most ``sample_windows`` windows of ``sample_documents`` documents."""
     spark = docs.sparkSession
     classes = [*TEMPLATES, UNKNOWN]
     number = F.array_position(F.array(*map(F.lit, classes)), F.col("label")) - 1
     # A bounded table in one part, so that sums come out alike each time.
     examples = stored(
-        _examples(docs, sample_documents)
+        _examples(docs, sample_documents, sample_windows)
         .select(number.cast("double").alias("label"), _features("words").alias("features_of"))
         .distinct()
         .withColumn("apart", F.pmod(F.xxhash64("features_of"), F.lit(5)) == 0)
@@ -337,71 +384,106 @@ def _margins(examples: DataFrame, model: LicenceModel, keys: list[str]) -> DataF
 
 
 def _template_pairs(spark: SparkSession) -> DataFrame:
-    """(pair, family, number, n, least): the distinct word pairs of each template sentence.
+    """(pair, family, number, n, least, required): the distinct word pairs of each template sentence.
 
     ``least`` is the percentage of them that a text must hold.
     """
     rows = []
-    for family, number, words in templates():
+    for family, number, words, required in templates():
         pairs = sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
         least = 100 if words[0] == "spdx" else CONTAINED
-        rows += [(pair, family, number, len(pairs), least) for pair in pairs]
-    return spark.createDataFrame(rows, "pair string, family string, number int, n int, least int")
+        rows += [(pair, family, number, len(pairs), least, required) for pair in pairs]
+    return spark.createDataFrame(
+        rows, "pair string, family string, number int, n int, least int, required array<string>"
+    )
 
 
-def _contained(texts: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, family, contained) of rows of ``keys`` and ``words`` that hold a template sentence of the family."""
-    pairs = texts.select(*keys, F.explode(F.array_distinct(_pairs("words"))).alias("pair"))
-    return (
+def _contained(texts: DataFrame, keys: list[str], least: int | None = None) -> DataFrame:
+    """(keys, family, contained, from, to) of rows of ``keys`` and ``words`` that hold a template sentence.
+
+    ``from`` and ``to`` are the first and last of its words there. All its required words must be
+    there, unless ``least`` percent of the pairs are to be enough.
+    """
+    held = F.array_intersect("words", F.array(*map(F.lit, REQUIRED)))
+    pairs = texts.select(*keys, held.alias("held"), F.posexplode(_pairs("words")).alias("at", "pair"))
+    whole = F.size(F.array_except("required", "held")) == 0
+    counted = (
         pairs.join(F.broadcast(_template_pairs(texts.sparkSession)), "pair")  # a fixed number of rows
+        .where(F.lit(True) if least is not None else whole)
         .groupBy(*keys, "family", "number", "n", "least")
-        .agg(F.floor(100 * F.count("*") / F.col("n")).alias("contained"))
-        .where(F.col("contained") >= F.col("least"))
-        .groupBy(*keys, "family")
-        .agg(F.max("contained").alias("contained"))
+        .agg(F.countDistinct("pair").alias("found"), F.min("at").alias("from"), (F.max("at") + 1).alias("to"))
+        .withColumn("contained", F.floor(100 * F.col("found") / F.col("n")))
+        .where(F.col("contained") >= (F.col("least") if least is None else F.lit(least)))
+    )
+    best = F.max(F.struct("contained", (-F.col("from")).alias("from"), "to")).alias("x")
+    return (
+        counted.groupBy(*keys, "family")
+        .agg(best)
+        .select(*keys, "family", "x.contained", (-F.col("x.from")).alias("from"), F.col("x.to").alias("to"))
     )
 
 
 def licence_paragraphs(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
-    """(doc_id, row_no, paragraph, first, last, family, score, contained) of the lines that hold a licence.
+    """(doc_id, row_no, paragraph, first, last, family, score, contained) of the runs of words that hold a licence.
 
-    ``score`` is the calibrated probability that the lines name a licence
-    at all, ``contained`` the percentage of a template sentence of the
-    predicted family that they hold. Lines below ``threshold`` or below
-    60 percent are unknown and left out, as are lines joined to others that
-    add nothing, and lines of which a longer run holds more of a template.
+    ``first`` and ``last`` number words of a paragraph from 0. ``score`` is the calibrated probability
+    that a window over them names a licence at all, ``contained`` the percentage of a template sentence of the
+    predicted family that it holds. Windows below ``threshold`` or below 60 percent are unknown and left
+    out. Where runs of two families overlap, that with less of its template gives way; overlapping runs
+    of one family are one.
     """
     model = fit_licences(docs)
-    found = stored(paragraphs(docs), "licence-paragraphs")
+    found = stored(windows(docs), "licence-windows")
     paragraph = ["doc_id", "row_no", "paragraph"]
-    keys = ["row_no", "paragraph", "first", "last"]
+    keys = ["row_no", "paragraph", "first", "wide"]
     judged = _margins(found.select("doc_id", *keys, _features("words").alias("ngrams")), model, ["doc_id", *keys])
     score = 1 / (1 + F.exp(-(F.col("margin") * model.slope + model.shift)))
     predicted = judged.withColumn("score", score).where(F.col("score") >= threshold)
-    hits = predicted.join(_contained(found, keys), [*keys, "family"])
-
-    def inside(x: Column, y: Column) -> Column:
-        """Lines x are some of the lines y, but not all."""
-        wider = y["last"] - y["first"] > x["last"] - x["first"]
-        return (y["first"] <= x["first"]) & (x["last"] <= y["last"]) & wider
-
-    adds = lambda x: ~F.exists(
-        "hits", lambda y: inside(y, x) & (y["family"] == x["family"]) & (y["contained"] >= x["contained"])
+    hits = (
+        predicted.join(_contained(found, keys), [*keys, "family"])
+        .select(
+            *paragraph,
+            (F.col("first") + F.col("from")).alias("first"),
+            (F.col("first") + F.col("to")).alias("last"),
+            "family",
+            "score",
+            "contained",
+        )
+        .groupBy(*paragraph, "first", "last", "family")
+        .agg(F.max("score").alias("score"), F.max("contained").alias("contained"))
+    )
+    # A run is no longer than a window, so those that overlap it begin near it, a bounded number of them.
+    near = Window.partitionBy(*paragraph).orderBy("first").rangeBetween(-WIDEST, WIDEST)
+    around = F.collect_list(F.struct("first", "last", "family", "contained")).over(near)
+    gives_way = F.exists(
+        "around",
+        lambda y: (y["family"] != F.col("family"))
+        & (y["contained"] > F.col("contained"))
+        & (y["first"] <= F.col("last"))
+        & (F.col("first") <= y["last"]),
     )
-    best = lambda x: ~F.exists("hits", lambda y: inside(x, y) & (y["contained"] > x["contained"]))
+    kept = hits.withColumn("around", around).where(~gives_way).drop("around")
+    order = Window.partitionBy(*paragraph, "family").orderBy("first", "last")
+    before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.coalesce(F.col("first") > F.col("before"), F.lit(True)).cast("int")
     return (
-        hits.groupBy(*paragraph)
-        .agg(F.collect_list(F.struct("first", "last", "family", "score", "contained")).alias("hits"))
-        .select(*paragraph, F.filter("hits", adds).alias("hits"))
-        .select(*paragraph, F.explode(F.filter("hits", best)).alias("x"))
-        .select(*paragraph, "x.*")
+        kept.withColumn("before", before)
+        .withColumn("run", F.sum(begins).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*paragraph, "family", "run")
+        .agg(
+            F.min("first").alias("first"),
+            F.max("last").alias("last"),
+            F.max("score").alias("score"),
+            F.max("contained").alias("contained"),
+        )
+        .select(*paragraph, "first", "last", "family", "score", "contained")
     )
 
 
 def licence_scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_licences, families, score) per distinct doc_id of ``docs``.
 
-    ``n_licences`` counts the lines, or runs of lines over which a licence is wrapped.
+    ``n_licences`` counts the runs of words that hold a licence, wrapped over lines or not.
     ``families`` lists the families found in any row of that id, sorted and
     joined by a comma, null if there is none; ``score`` is the highest of
     these, 0 if there is none. A null text has no paragraph; null ids are

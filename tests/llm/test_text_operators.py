@@ -123,7 +123,8 @@ def test_rules_run_no_python(spark, small):
 
 
 def test_every_template_is_found(spark, docs, no_docs):
-    assert all(set(words) & set(licences.ANCHORS) for _, _, words in licences.templates())
+    assert all(set(required) & set(licences.ANCHORS) for *_, required in licences.templates())
+    assert all(len(words) <= max(w - s + 1 for w, s in licences.SCALES) for _, _, words, _ in licences.templates())
     sentences = [s for family in licences.TEMPLATES.values() for s in family]
     rows = [(1000 + i, f"some text\n{s}.\nmore text") for i, s in enumerate(sentences)]
     rows += [(2000, "the licence of the poet, and a license to speak"), (2001, "permission"), (2002, None)]
@@ -187,6 +188,90 @@ def test_licence_headers_are_no_counter_examples(spark):
     assert unknown.where("array_contains(words, 'copyright') and array_contains(words, 'mit')").count() == 0
 
 
+NO_LICENCES = [
+    "You may not use this file except in compliance with the house rules",
+    "It is permitted to use, copy, modify, and distribute this leaflet for any purpose; leave is hereby granted by the mayor",
+    "Our product is not licensed under the MIT License",
+    "The poem was never released under the MIT License, nor will it be.",
+    "This work isn't licensed under the GNU General Public License, version 3",
+]
+
+
+def test_near_misses_and_denials_are_unknown(spark, docs):
+    rows = [(1000 + i, text) for i, text in enumerate(NO_LICENCES)]
+    given = docs.select("doc_id", "text").unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    found = {r.doc_id: r.families for r in licences.licence_scan(given).collect()}
+    assert [found[i] for i, _ in rows] == [None] * len(rows)
+
+
+def _in_lines(text, width):
+    words = text.split()
+    return "\n".join(" ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_neither_line_length_nor_wrapping_hides_a_licence(spark, docs):
+    grants = [
+        ("MIT", licences.TEMPLATES["MIT"][2]),
+        ("BSD", licences.TEMPLATES["BSD"][2]),
+        ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ]
+    story = "a story of many cats and dogs that went to see the sea in spring".split()
+    prose = lambda n: " ".join(story[i % len(story)] for i in range(n))
+    rows = []
+    for family, grant in grants:
+        rows += [(family, _in_lines(grant, width)) for width in (1, 2, 3, 5)]
+        rows += [(family, f"{prose(before)} {grant} {prose(5000 - before)}") for before in (0, 1, 7, 400, 4999)]
+    both = f"{prose(300)} {grants[0][1]} {grants[2][1]} {prose(300)}"
+    rows.append(("Apache-2.0,MIT", both))
+    numbered = [(1000 + i, text) for i, (_, text) in enumerate(rows)]
+    given = docs.select("doc_id", "text").unionByName(spark.createDataFrame(numbered, "doc_id long, text string"))
+    found = {r.doc_id: r for r in licences.licence_scan(given).collect()}
+    assert [found[i].families for i, _ in numbered] == [family for family, _ in rows]
+
+
+def test_a_paragraph_of_many_licence_lines(spark, docs):
+    """Work grows with the number of hits, and each line is a run of its own."""
+    line = "Licensed under the MIT License by the author of the story of many cats and dogs at the sea"
+    given = spark.createDataFrame([(1, "\n".join([line] * 2000))], "doc_id long, text string")
+    (found,) = licences.licence_scan(given.unionByName(docs.select("doc_id", "text"))).where("n_licences > 0").collect()
+    assert (found.doc_id, found.n_licences, found.families) == (1, 2000, "MIT")
+
+
+def brute_contained(words):
+    """{family: percent} of the templates that a list of words holds, with their required words."""
+    held = {}
+    for family, _, template, required in licences.templates():
+        pairs = set(zip(template, template[1:]))
+        share = 100 * len(pairs & set(zip(words, words[1:]))) // len(pairs)
+        if share >= (100 if template[0] == "spdx" else 60) and set(required) <= set(words):
+            held[family] = max(held.get(family, 0), share)
+    return held
+
+
+def test_windows_and_containment_equal_brute_force(spark, docs):
+    rows = [(i, text) for i, (_, text) in enumerate(WRAPPED)]
+    rows += [(100 + i, f"one two three {' '.join(s.split()[: 3 + i % 9])} four five") for i, s in enumerate(
+        s for all_of in licences.TEMPLATES.values() for s in all_of
+    )]
+    given = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    cut = licences.windows(given)
+    found = {(r.doc_id, r.paragraph, r.first, r.wide): r.words for r in cut.collect()}
+    expected = {}
+    for doc_id, text in rows:
+        for number, paragraph in enumerate(re.split(r"\n[^\w\n]*(?=\n)", text)):
+            words = licences.tokens(paragraph)
+            for wide, step in licences.SCALES:
+                for first in range(0, len(words), step):
+                    if set(words[first : first + wide]) & set(licences.ANCHORS):
+                        expected[doc_id, number, first, wide] = words[first : first + wide]
+    assert found == expected
+    keys = ["doc_id", "paragraph", "first", "wide"]
+    held = {}
+    for r in licences._contained(cut, keys).collect():
+        held.setdefault((r.doc_id, r.paragraph, r.first, r.wide), {})[r.family] = r.contained
+    assert held == {key: h for key, words in expected.items() if (h := brute_contained(words))}
+
+
 # Token files
 
 
