@@ -248,9 +248,10 @@ def _examples(docs: DataFrame, sample_documents: int, sample_windows: int = 4000
     # Templates in the midst of the corpus' own words, a few for each.
     around = prose.where(F.size("words") >= 12).orderBy(F.md5(F.concat_ws(" ", "words")), "words").limit(8)
     for row in around.collect():  # eight windows
-        half = len(row.words) // 2
-        before, after = (F.array(*map(F.lit, part)) for part in (row.words[:half], row.words[half:]))
-        framed.append(whole.select("label", F.concat(before, "words", after).alias("words")))
+        for at in (0, len(row.words) // 2, len(row.words)):
+            before, after = (F.split(F.lit(" ".join(part)), " ") for part in (row.words[:at], row.words[at:]))
+            words = F.filter(F.concat(before, "words", after), lambda w: w != "")
+            framed.append(whole.select("label", words.alias("words")))
     # An identifier without its last word is that of no licence.
     named = F.array_contains("words", "spdx") | F.array_contains("words", "identifier")
     fewer = [without(step).where(~named) for step in (1000, 7)]
@@ -429,8 +430,8 @@ def licence_paragraphs(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     ``first`` and ``last`` number words of a paragraph from 0. ``score`` is the calibrated probability
     that a window over them names a licence at all, ``contained`` the percentage of a template sentence of the
     predicted family that it holds. Windows below ``threshold`` or below 60 percent are unknown and left
-    out. Where runs of two families overlap, that with less of its template gives way; overlapping runs
-    of one family are one.
+    out. Where runs of two families overlap, that with less of its template gives way, and so does a run
+    that holds a shorter one with as much; other overlapping runs of one family are one.
     """
     model = fit_licences(docs)
     found = stored(windows(docs), "licence-windows")
@@ -455,13 +456,17 @@ def licence_paragraphs(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     # A run is no longer than a window, so those that overlap it begin near it, a bounded number of them.
     near = Window.partitionBy(*paragraph).orderBy("first").rangeBetween(-WIDEST, WIDEST)
     around = F.collect_list(F.struct("first", "last", "family", "contained")).over(near)
-    gives_way = F.exists(
-        "around",
-        lambda y: (y["family"] != F.col("family"))
-        & (y["contained"] > F.col("contained"))
-        & (y["first"] <= F.col("last"))
-        & (F.col("first") <= y["last"]),
-    )
+    def outdone(y: Column) -> Column:
+        """By more of another family's template, or by as much of the same in fewer words."""
+        overlaps = (y["first"] <= F.col("last")) & (F.col("first") <= y["last"])
+        inside = (y["first"] >= F.col("first")) & (y["last"] <= F.col("last"))
+        shorter = y["last"] - y["first"] < F.col("last") - F.col("first")
+        same = y["family"] == F.col("family")
+        return F.when(same, inside & shorter & (y["contained"] >= F.col("contained"))).otherwise(
+            overlaps & (y["contained"] > F.col("contained"))
+        )
+
+    gives_way = F.exists("around", outdone)
     kept = hits.withColumn("around", around).where(~gives_way).drop("around")
     order = Window.partitionBy(*paragraph, "family").orderBy("first", "last")
     before = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
