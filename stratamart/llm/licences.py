@@ -202,17 +202,12 @@ def windows(docs: DataFrame) -> DataFrame:
         lambda text, i: F.struct(i.alias("paragraph"), text.alias("text")),
     )
     found = F.filter(numbered, lambda x: x["text"].rlike(rf"(?i)licence|{anchor}"))
-    cut = F.flatten(
-        F.array(
-            *[
-                F.transform(
-                    F.filter(_cut(F.col("text"), words, step), lambda x: x["text"].rlike(anchor)),
-                    lambda x, words=words: F.struct(x["first"], F.lit(words).alias("wide"), x["text"]),
-                )
-                for words, step in SCALES
-            ]
-        )
-    )
+
+    def of_scale(wide: int, step: int) -> Column:
+        pieces = F.filter(_cut(F.col("text"), wide, step), lambda x: x["text"].rlike(anchor))
+        return F.transform(pieces, lambda x: F.struct(x["first"], F.lit(wide).alias("wide"), x["text"]))
+
+    cut = F.flatten(F.array(*[of_scale(*scale) for scale in SCALES]))
     return (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), found.alias("found"))
         .where(F.size("found") > 0)
