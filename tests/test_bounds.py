@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from stratamart import catalog
 from stratamart.operators import folders, storage
+from stratamart.operators.quality import SMALL_TASKS, check_metrics, relationship, unique
 from stratamart.plans import build
 
 RELEASED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -50,3 +51,29 @@ def test_tables_are_stored_with_an_entropy_coder(spark, folder):
 
 def test_a_task_sorts_a_bounded_part_of_a_fact():
     assert int(storage.FILE_BYTES.removesuffix("m")) <= 64
+
+
+def test_checks_run_in_small_tasks(spark, small, monkeypatch):
+    seen = []
+
+    def keep(model, name):
+        seen.append({c: spark.conf.get(c) for c in SMALL_TASKS})
+        return storage.rebuild_table(model, storage.scratch_path(spark, name))
+
+    monkeypatch.setattr(catalog, "stored", keep)
+    assert catalog.QUERIES["check_unique_combination"](spark, small).count() == 4
+    assert seen == [SMALL_TASKS]
+
+
+def test_digests_travel_as_bytes_and_stay_apart_from_other_texts(spark):
+    digest = "0123456789abcdef" * 2
+    texts = [digest, digest.upper(), digest, "x" * 32, "", None, None, digest[:30]]
+    child = spark.createDataFrame([(t,) for t in texts], "k string")
+    parent = spark.createDataFrame([(digest,), ("",)], "p string")
+    declared = unique("c", "k") + relationship("c", "k", "p", "p")
+    metrics = check_metrics({"c": child, "p": parent}, declared, "s")
+    assert {(r.check_name, r.n_rows, r.n_bad) for r in metrics.collect()} == {
+        ("unique", 8, 1),
+        ("relationships", 8, 3),
+    }
+    assert "unhex" in metrics._jdf.queryExecution().optimizedPlan().toString()
