@@ -11,11 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from stratamart.operators.storage import drop_scratch, scratch_path
+from stratamart.operators.storage import RELEASING, drop_scratch, scratch_path, settings
 
 # Rows that a task turns into Python objects at a time; bounds its memory with very long texts.
 ROWS_AT_A_TIME = 256
 
+# Rows in one Arrow batch between Spark and a Python worker; both sides hold it, outside Spark's memory.
+ROWS_OF_A_BATCH = 1024
+
 # Bytes ``0x20 0x09-0x0D``, the white space that ends a word, as a Java and RE2 class.
 SPACE = r"\x20\x09-\x0D"
 
@@ -33,18 +36,32 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(spark: SparkSession, *purposes: str) -> None:
+    """Remove what the operator at work has stored for these purposes."""
+    for path in list(_intermediates[-1] if _intermediates else []):
+        if path.rpartition("/")[2].rpartition("-")[0] in purposes:
+            drop_scratch(spark, path)
+            _intermediates[-1].remove(path)
+
+
 def tidy(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """An operator whose result is stored, and whose intermediate tables are then removed."""
+    """An operator on a DataFrame whose result is stored, and whose intermediate tables are then removed.
+
+    What its jobs have shuffled is removed as each of them ends.
+    """
 
     @wraps(operator)
-    def run(*args, **kwargs) -> DataFrame:
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        spark = df.sparkSession
+        batches = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(ROWS_OF_A_BATCH)}
         _intermediates.append([])
         try:
-            result = operator(*args, **kwargs)
-            path = scratch_path(result.sparkSession, operator.__name__)
-            result.write.parquet(path)
+            with settings(spark, RELEASING | batches):
+                result = operator(df, *args, **kwargs)
+                path = scratch_path(spark, operator.__name__)
+                result.write.parquet(path)
             for used in _intermediates[-1]:
-                drop_scratch(result.sparkSession, used)
+                drop_scratch(spark, used)
         finally:
             _intermediates.pop()
         if _intermediates:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_task, stored, tidy
+from .common import drop_stored, map_task, stored, tidy
 from .components import components
 from .shingles import Shingler, common_counts, similar
 
@@ -173,10 +173,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     Empty tables give an empty result. Other columns are not read.
     """
     order = shingle_order(docs)
-    found = stored(
-        prefixes(docs, order, percent).withColumn("row_no", F.monotonically_increasing_id()),
-        "jaccard-prefixes",
-    )
+    spark = docs.sparkSession
+    found = stored(prefixes(docs, order, percent), "jaccard-prefixes")
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     # Rows of equal sets are one node, numbered by a hash that must not collide.
     for seed in range(8):
@@ -191,6 +189,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     else:
         raise RuntimeError("too many different texts to number them by 64 bits")
     shared = stored(_shared_shingles(numbered), "jaccard-shared")
+    # The prefixes are most of what is stored, and not read again.
+    found = stored(found.drop("prefix", "matches"), "jaccard-rows")
+    numbered = found.where(linkable).withColumn("node", F.xxhash64("set_key", F.lit(seed)))
+    drop_stored(spark, "jaccard-prefixes")
     texts = _texts(docs, numbered, shared)
     star = stored(_with_pivot(shared, percent), "jaccard-star")
     edges = [stored(_verified(star, texts, percent), "jaccard-star-edges")]
@@ -357,7 +359,9 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
     their sizes permit the similarity; a task compares the nodes of two blocks
     and gives only links.
     """
+    spark = shared.sparkSession
     rows = stored(_blocks(shared, merged, star), "jaccard-mixed")
+    drop_stored(spark, "jaccard-shared", "jaccard-star")
     bounds = rows.groupBy("block").agg(
         F.min("n").alias("least"), F.max("n").alias("most"), F.min("matches").alias("needed")
     )
@@ -389,11 +393,13 @@ def _across(shared: DataFrame, merged: DataFrame, star: DataFrame, texts: DataFr
         ),
         "jaccard-members",
     )
+    drop_stored(spark, "jaccard-mixed")
     sides = met.select("pair", F.col("block_l").alias("block"), F.lit(0).alias("side")).unionByName(
         met.select("pair", F.col("block_r").alias("block"), F.lit(1).alias("side"))
     )
     # Texts follow for those nodes only that share enough of their prefixes with one of the other block.
     able = stored(_able(sides.join(members, "block"), percent), "jaccard-able")
+    drop_stored(spark, "jaccard-members", "jaccard-block-pairs")
     loaded = (
         able.join(texts, "node")
         .select("pair", "side", "node", "component", "text")
