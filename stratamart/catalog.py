@@ -29,6 +29,7 @@ from stratamart.operators.quality import (
 from stratamart.operators.retention import latest_n_per_group
 from stratamart.operators.spine import date_bounds, date_spine
 from stratamart.operators.storage import (
+    ByRow,
     FactLayout,
     drop_scratch,
     rebuild_table,
@@ -102,6 +103,11 @@ def staging(spark: SparkSession, folder: str) -> Staging:
     return Staging(spark, folder)
 
 
+def unbroadcast(df: DataFrame) -> DataFrame:
+    """A whole table that grows with the input: Spark would broadcast it by its size on storage, many times smaller."""
+    return df.hint("merge")
+
+
 def sized(query: Query) -> Query:
     """A query that runs its jobs itself, with session settings for the size of its folder."""
 
@@ -353,8 +359,8 @@ def merged_order_items(spark: SparkSession, folder: str) -> DataFrame:
 
     layout = merge_layout(gold.ORDER_ITEM_LAYOUT)
     path = scratch_path(spark, "fct-order-items")
-    loaded = _loaded(gold.order_item_rows(gold.int_order_items(orders, lines)))
-    target = write_clustered(loaded, path, layout, undiscounted)
+    loaded = _loaded(gold.order_item_rows(gold.int_order_items(unbroadcast(orders), lines)))
+    target = write_clustered(loaded, path, layout, ByRow(undiscounted))
     increment = gold.order_items_increment(
         lambda start: gold.recent_order_items(orders, lines, start),
         target,
@@ -422,10 +428,10 @@ def rebuilt_orders_enriched(spark: SparkSession, folder: str) -> DataFrame:
 def clustered_order_items(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "clustered")
     t = staging(spark, folder)
-    items = gold.int_order_items(t["stg_tpch_orders"], t["stg_tpch_line_items"])
+    items = gold.int_order_items(unbroadcast(t["stg_tpch_orders"]), t["stg_tpch_line_items"])
     return presented(
         write_clustered(
-            gold.order_item_rows(items), path, gold.ORDER_ITEM_LAYOUT, gold.order_item_columns
+            gold.order_item_rows(items), path, gold.ORDER_ITEM_LAYOUT, ByRow(gold.order_item_columns)
         )
     )
 

@@ -20,7 +20,7 @@ from stratamart.operators import folders
 
 # Size at which adaptive execution cuts the rows of one output file.
 ADVISORY_SIZE = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
-FILE_BYTES = "64m"  # as they are shuffled; bounds what a task sorts
+FILE_BYTES = "32m"  # as they are shuffled; bounds what a task sorts
 # Most of a fact is digests in hexadecimal, which only an entropy coder makes shorter.
 COMPRESSION = "zstd"
 # Spark then removes the shuffle files of a job when the job ends, instead of when the driver collects garbage.
@@ -53,6 +53,16 @@ class FactLayout:
         return T.StructType([*fields, T.StructField(self.month, T.DateType())])
 
 
+@dataclass(frozen=True)
+class ByRow:
+    """A derivation that only computes and picks columns: rows keep their order, day and cluster key."""
+
+    columns: Callable[[DataFrame], DataFrame]
+
+    def __call__(self, rows: DataFrame) -> DataFrame:
+        return self.columns(rows)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -173,9 +183,14 @@ def clustered(
     that (``sized_session``).
     The order inside the files lets scans skip to the days they ask for.
     Columns added by ``derive`` are computed after the shuffle and do not
-    travel through it.
+    travel through it. Those of a ``ByRow`` are computed after the sort too, so
+    that a task holds narrow rows only; the month is sorted by its expression,
+    by which the writer knows the column added later to be in order.
     """
     rows = df.hint("rebalance", layout.day)
+    if isinstance(derive, ByRow):
+        month = F.trunc(layout.day, "month")
+        return layout.with_month(derive(rows.sortWithinPartitions(month, layout.day, layout.cluster_key)))
     if derive is not None:
         rows = derive(rows)
     return layout.with_month(rows).sortWithinPartitions(

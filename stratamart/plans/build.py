@@ -26,6 +26,7 @@ from stratamart.operators.quality import (
 )
 from stratamart.operators.storage import (
     RELEASING,
+    ByRow,
     FactLayout,
     drop_scratch,
     load_if_exists,
@@ -124,7 +125,7 @@ def build_order_items(
         if window is not None:
             order_items = order_items.filter(between_window(F.col("order_date"), *window))
         narrow = gold.order_item_rows(order_items)
-        fact = write_clustered(narrow, path, layout, gold.order_item_columns)
+        fact = write_clustered(narrow, path, layout, ByRow(gold.order_item_columns))
         build_table(spark, path, layout, full.schema)
         return fact
     if window is not None:

@@ -1,6 +1,7 @@
 """What a task, a shuffle and the disk hold must not grow faster than the input."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratamart import catalog
@@ -77,3 +78,28 @@ def test_digests_travel_as_bytes_and_stay_apart_from_other_texts(spark):
         ("relationships", 8, 3),
     }
     assert "unhex" in metrics._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("query", ["clustered_write", "merge_order_items"])
+def test_order_items_are_sorted_as_narrow_rows(spark, small, monkeypatch, query):
+    """Digests and text keys are computed above the sort, which the writer takes as it is."""
+    plans, stored = [], []
+
+    def write(df, path, layout, derive=None):
+        plans.append(storage.clustered(df, layout, derive)._jdf.queryExecution().sparkPlan().toString())
+        stored.append((storage.write_clustered(df, path, layout, derive), layout))
+        return stored[-1][0]
+
+    monkeypatch.setattr(catalog, "write_clustered", write)
+    assert catalog.QUERIES[query](spark, small).count() > 0
+    (plan,), ((fact, layout),) = plans, stored
+    assert plan.index("Sort [") > plan.rindex("md5(")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    # Above the join's own sorts there is one only.
+    assert plan[: plan.index("REBALANCE")].count("Sort [") == 1
+    if query == "clustered_write":
+        number = F.monotonically_increasing_id().alias("i")
+        in_files = fact.select(F.input_file_name().alias("f"), number, layout.day, layout.cluster_key)
+        before = Window.partitionBy("f").orderBy("i")
+        last = in_files.withColumn("last", F.lag(F.struct(layout.day, layout.cluster_key)).over(before))
+        assert last.where(F.col("last") > F.struct(layout.day, layout.cluster_key)).count() == 0
