@@ -12,13 +12,15 @@ from pyspark.sql import SparkSession
 from tokenizers import Tokenizer
 
 LONGEST_KEPT = 64  # bytes of a word whose ids are remembered
-MOST_KEPT = 250_000  # words in each of the two generations that a task remembers
+MOST_KEPT = 400_000  # words in each of the two generations that a task remembers
 JOINED = 1000  # new words that are encoded in one call
 CODED_BYTES = 2 << 20  # of texts that are encoded together; the more, the fewer different words
 WORD_END = "</w>"
 MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks but the apostrophe
 # Marks between an ASCII letter or digit and the end of a word.
 TAIL = r"([a-z0-9])([" + re.escape(MARKS.decode()) + r"]+)([ \t-\r]|$)"
+# Words of letters that no rule changes: lower-case ones of Latin-1, composed already.
+PLAIN = "^[a-zß-öø-ÿ]+$"
 # How the names of special tokens begin, and combining marks.
 LEFT_WHOLE = "<\\||[\u0300-\u037f]"
 
@@ -102,6 +104,37 @@ class WordCoder(dict):
         for (stem, _), coded in zip(others, found):
             self._keep(stem, np.array(coded.ids, "<u4").tobytes())
 
+    def _ids_of(self, words: pa.Array) -> list[bytes]:
+        """The ids of different words: remembered ones, new plain ones many at a time, then the others."""
+        known = words.cast(pa.large_binary()).to_pylist()
+        ids = list(map(self.get, known))
+        new = []
+        for i in [i for i, found in enumerate(ids) if found is None]:
+            ids[i] = self.older.get(known[i])
+            if ids[i] is None:
+                new.append(i)
+            else:
+                self._keep(known[i], ids[i])
+        plain = pc.match_substring_regex(words.take(pa.array(new, pa.int64())), PLAIN).to_pylist()
+        letters = [i for i, is_plain in zip(new, plain) if is_plain]
+        others = [i for i, is_plain in zip(new, plain) if not is_plain]
+        for start in range(0, len(letters), JOINED):
+            some = letters[start : start + JOINED]
+            coded = self._ids(b" ".join([known[i] for i in some]).decode())
+            ends = np.flatnonzero(self.ends[coded]) + 1
+            if len(ends) != len(some):
+                others += some  # letters that this vocabulary parts or leaves out
+                continue
+            raw, at = coded.tobytes(), 0
+            for i, end in zip(some, (4 * ends).tolist()):
+                ids[i] = raw[at:end]
+                self._keep(known[i], ids[i])
+                at = end
+        self._learn([known[i] for i in others])
+        for i in others:
+            ids[i] = self[known[i]]
+        return ids
+
     def encode(self, text: str | None) -> bytes:
         """The ids of a whole text; none for a null or empty one."""
         return self.encode_all([text])[0]
@@ -117,9 +150,7 @@ class WordCoder(dict):
         parted = pc.replace_substring_regex(pc.ascii_lower(column), TAIL, r"\1 \2\3")
         words = pc.ascii_split_whitespace(pc.if_else(whole, "", parted))
         coded = words.flatten().dictionary_encode()
-        different = coded.dictionary.cast(pa.large_binary()).to_pylist()
-        self._learn(different)
-        ids = list(map(self.__getitem__, different))
+        ids = self._ids_of(coded.dictionary)
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         pool = np.frombuffer(b"".join(ids), "<u4")
         starts = np.cumsum(sizes) - sizes

@@ -1,0 +1,40 @@
+"""Ids of words are looked up, and asked of the library once."""
+
+import itertools
+import string
+
+import public_tokenizers
+import pytest
+
+from stratamart.llm.tokens import WordCoder, vocabulary
+
+
+@pytest.fixture(scope="module")
+def content():
+    return vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def test_words_met_again_are_not_encoded_again(content, monkeypatch):
+    coder, asked = WordCoder(content), []
+    ids = coder._ids
+    monkeypatch.setattr(coder, "_ids", lambda text: (asked.append(text.count(" ") + 1), ids(text))[1])
+    words = ["".join(w) for w in itertools.islice(itertools.product(string.ascii_lowercase, repeat=5), 400_000)]
+    texts = [" ".join(words[i : i + 100_000]) for i in range(0, len(words), 100_000)]
+    first = [coder.encode(text) for text in texts]
+    assert sum(asked) == 400_000
+    assert [coder.encode(text) for text in texts] == first
+    assert sum(asked) == 400_000
+
+
+def test_plain_and_other_words_of_one_batch(content):
+    coder = WordCoder(content)
+    texts = [
+        "niño ñandú straße ÿ ß ÷ ª º µ ﬁne ǆ ı İstanbul ΣΑΣ don't x-ray 3rd naïve, café. Éte",
+        "niño" * 30 + " " + "é" * 70 + ", (word) word word! WORD Ñandú ñandú",
+        None,
+        "",
+        " \t\n",
+    ]
+    whole = [coder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for _ in range(2):
+        assert [list(memoryview(x).cast("I")) for x in coder.encode_all(texts)] == whole
