@@ -1,11 +1,14 @@
 """What a task, a shuffle and the disk hold must not grow faster than the input."""
 
+from collections import Counter
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stratamart import catalog
-from stratamart.operators import folders, storage
+from stratamart.operators import folders, line_months, storage
 from stratamart.operators.quality import SMALL_TASKS, check_metrics, relationship, unique
 from stratamart.plans import build
 
@@ -103,3 +106,104 @@ def test_order_items_are_sorted_as_narrow_rows(spark, small, monkeypatch, query)
         before = Window.partitionBy("f").orderBy("i")
         last = in_files.withColumn("last", F.lag(F.struct(layout.day, layout.cluster_key)).over(before))
         assert last.where(F.col("last") > F.struct(layout.day, layout.cluster_key)).count() == 0
+
+
+LAYOUT = storage.FactLayout(key=("o", "n"), day="d", month="m", line=("o", "n"), cluster_key="o")
+
+
+def some_days(spark):
+    """Rows of 30 months, and some without a day."""
+    day = "if(id % 50 = 0, null, date_add(date'2020-01-01', cast(id % 900 as int)))"
+    return spark.range(5_000).selectExpr("id div 4 o", "cast(id % 4 as int) n", f"{day} d")
+
+
+def test_passes_deal_every_month_once(spark, folder, monkeypatch):
+    """A pass shuffles its own months only, and the table is whole."""
+    dealt, clustered = [], storage.clustered
+
+    def watch(rows, *more):
+        dealt.append(storage.months_of(LAYOUT.with_month(rows), LAYOUT))
+        return clustered(rows, *more)
+
+    monkeypatch.setattr(storage, "clustered", watch)
+    rows = some_days(spark)
+    stored = storage.write_clustered(rows, f"{folder}/t", replace(LAYOUT, passes=7))
+    assert len(dealt) == 7 and max(map(len, dealt)) <= 6
+    assert sum(map(len, dealt)) == len(set.union(*dealt)) == 31
+    assert Counter(stored.drop("m").collect()) == Counter(rows.collect())
+
+
+def test_a_table_of_which_passes_are_missing_is_none(spark, folder, monkeypatch):
+    passes, clustered = [], storage.clustered
+
+    def stop(*given):
+        passes.append(given)
+        if len(passes) == 3:
+            raise RuntimeError("stopped")
+        return clustered(*given)
+
+    monkeypatch.setattr(storage, "clustered", stop)
+    layout = replace(LAYOUT, passes=3)
+    with pytest.raises(RuntimeError, match="stopped"):
+        storage.write_clustered(some_days(spark), f"{folder}/t", layout)
+    assert storage.load_if_exists(spark, f"{folder}/t") is None
+    assert storage.write_clustered(some_days(spark), f"{folder}/t", layout).count() == 5_000
+
+
+def test_shipment_merge_is_the_same_in_passes(spark, small, monkeypatch):
+    seen = []
+
+    def write(df, path, layout, derive=None):
+        seen.append((layout.passes, path))
+        return storage.write_clustered(df, path, layout, derive)
+
+    expected = Counter(catalog.QUERIES["merge_shipment_events"](spark, small).collect())
+    monkeypatch.setattr(catalog, "write_clustered", write)
+    monkeypatch.setattr(catalog, "passes_over", lambda size: 5 if size else 0)
+    merged = catalog.QUERIES["merge_shipment_events"](spark, small)
+    assert Counter(merged.collect()) == expected
+    assert [passes for passes, _ in seen] == [5]
+
+
+def test_a_merge_key_of_several_columns_needs_no_column_of_its_own(spark, small, monkeypatch):
+    facts = []
+    write = storage.write_clustered
+    monkeypatch.setattr(catalog, "write_clustered", lambda *a, **k: facts.append(write(*a, **k)) or facts[-1])
+    assert catalog.QUERIES["merge_shipment_events"](spark, small).count() > 0
+    assert "merge_key" not in facts[0].columns and len(facts[0].columns) == 18
+
+
+def test_line_months_are_sorted_and_packed_and_the_same_in_passes(spark, folder, monkeypatch):
+    fact = storage.write_clustered(some_days(spark), f"{folder}/t", LAYOUT)
+    monkeypatch.setattr(line_months, "ROWS_OF_FEW", 1_000)
+    wanted = Counter(fact.select("o", "n", "m").distinct().collect())
+    for rows_of_pass in (5_000, 1_500):
+        monkeypatch.setattr(line_months, "ROWS_PER_PASS", rows_of_pass)
+        where, buckets = line_months.build_table(spark, f"{folder}/t", LAYOUT, fact.schema)
+        assert buckets == 5
+        with line_months.registered(spark, where, buckets, LAYOUT, fact.select("o", "n", "m").schema) as name:
+            assert Counter(spark.table(name).collect()) == wanted
+        files = [n for n in folders.names(spark, where) if n.endswith(".parquet")]
+        assert len(files) == buckets and all(".zstd." in n for n in files)
+        assert folders.exists(spark, f"{where}/_SUCCESS")
+        rows = [tuple(r) for r in spark.read.parquet(f"{where}/{files[0]}").select("o", "n").collect()]
+        assert rows == sorted(rows)
+
+
+def test_line_months_of_which_passes_are_missing_are_not_used(spark, folder, monkeypatch):
+    fact = storage.write_clustered(some_days(spark), f"{folder}/t", LAYOUT)
+    monkeypatch.setattr(line_months, "ROWS_OF_FEW", 1_000)
+    monkeypatch.setattr(line_months, "ROWS_PER_PASS", 1_500)
+    passes, dealt = [], line_months._dealt
+
+    def stop(*given):
+        passes.append(given)
+        if len(passes) % 3 == 0:
+            raise RuntimeError("stopped")
+        return dealt(*given)
+
+    monkeypatch.setattr(line_months, "_dealt", stop)
+    for _ in range(2):
+        with pytest.raises(RuntimeError, match="stopped"):
+            line_months.build_table(spark, f"{folder}/t", LAYOUT, fact.schema)
+        assert line_months.find_table(spark, f"{folder}/t") is None
